@@ -1,0 +1,6 @@
+"""Streams need no operator of their own.
+
+A fitted stage is a projection without state and without an action, so
+`model.transform(stream)` works on a `readStream` frame as it does on a table;
+`tests/test_streaming.py` runs a fitted pipeline over a file stream.
+"""
