@@ -13,6 +13,11 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def double_array(values: Sequence[float]) -> Column:
+    """An array literal; one parsed expression instead of a call to the JVM per entry."""
+    return F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")
+
+
 def column_types(df: DataFrame) -> dict[str, T.DataType]:
     return {field.name: field.dataType for field in df.schema.fields}
 

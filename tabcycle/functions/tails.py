@@ -57,7 +57,8 @@ def f_tail(statistic: Column, df_within: Column) -> Column:
     shrink = (8.0 * df_within + 1.0) / (8.0 * df_within + 3.0)
     many = erfc(shrink * F.sqrt(df_within * F.log1p(statistic / df_within) / 2.0))
     tail = F.when(df_within <= 1000, F.greatest(few, F.lit(0.0))).otherwise(many)
-    return F.when(df_within > 0, F.when(statistic == float("inf"), 0.0).otherwise(tail))
+    known = (df_within > 0) & statistic.isNotNull()
+    return F.when(known, F.when(statistic == float("inf"), 0.0).otherwise(tail))
 
 
 def _next_term(acc: Column, k: Column, start: Column, cos: Column, odd: Column) -> Column:
@@ -82,4 +83,6 @@ def kolmogorov_tail(distance: Column, n_left: Column, n_right: Column) -> Column
         lambda total, k: total
         + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * t * t),
     )
-    return F.when(t < 0.2, 1.0).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+    # `greatest` passes over NULL, so a side without rows needs its own condition.
+    bounded = F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0))
+    return F.when(t < 0.2, 1.0).when(t >= 0.2, bounded)
