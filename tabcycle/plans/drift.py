@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabcycle.functions.columns import capture_date_column, long_form, named
 from tabcycle.functions.tails import kolmogorov_tail
@@ -13,13 +13,20 @@ from tabcycle.plans.running import running_counts
 
 
 def _both_sides(left: DataFrame, right: DataFrame, features: Sequence[str], type_name: str) -> DataFrame:
-    """Rows (side, feature, value) of both frames; side 0 is the left one."""
+    """Rows (__side, feature, value) of both frames; side 0 is the left one."""
+    features = list(dict.fromkeys(features))
+    # The union widens numbers of two types, so that 1 and 1.0 are one category.
+    numeric = {f for f in features if all(isinstance(df.schema[f].dataType, T.NumericType) for df in (left, right))}
     sides = [
-        df.select(F.lit(side).alias("side"), *[named(f).cast(type_name).alias(f) for f in features])
+        df.select(
+            F.lit(side).alias("__side"),
+            *[(named(f) if f in numeric else named(f).cast(type_name)).alias(f) for f in features],
+        )
         for side, df in enumerate((left, right))
     ]
     both = sides[0].unionByName(sides[1])
-    return long_form(both, ["side"], features, "feature", "value")
+    both = both.select("__side", *[named(f).cast(type_name).alias(f) for f in features])
+    return long_form(both, ["__side"], features, "feature", "value")
 
 
 def category_distribution(left: DataFrame, right: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -29,7 +36,7 @@ def category_distribution(left: DataFrame, right: DataFrame, features: Sequence[
     no category. A category that one side lacks has share 0 there.
     """
     counts = _both_sides(left, right, features, "string").groupBy("feature", "value").agg(
-        F.count_if(F.col("side") == 0).alias("in_left"), F.count_if(F.col("side") == 1).alias("in_right")
+        F.count_if(F.col("__side") == 0).alias("in_left"), F.count_if(F.col("__side") == 1).alias("in_right")
     )
     totals = counts.groupBy("feature").agg(
         F.sum("in_left").alias("all_left"), F.sum("in_right").alias("all_right")
@@ -85,8 +92,8 @@ def ks_two_sample(left: DataFrame, right: DataFrame, features: Sequence[str]) ->
     is the large-sample one.
     """
     values = _both_sides(left, right, features, "double")
-    counts = values.groupBy("feature", "value", "side").agg(F.count("*").alias("n"))
-    kinds = {"left": F.col("side") == 0, "right": F.col("side") == 1}
+    counts = values.groupBy("feature", "value", "__side").agg(F.count("*").alias("n"))
+    kinds = {"left": F.col("__side") == 0, "right": F.col("__side") == 1}
     run = running_counts(counts, "feature", "value", "n", kinds, groups=len(features))
     gap = F.abs(
         F.try_divide("left_upto", "left_total") - F.try_divide("right_upto", "right_total")

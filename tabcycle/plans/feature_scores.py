@@ -38,10 +38,10 @@ def f_test_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFra
     is the one-way analysis of variance.
     """
     narrow = df.select(
-        named(label).cast("double").alias("label"), *[named(f).cast("double").alias(f) for f in features]
+        named(label).cast("double").alias("__label"), *[named(f).cast("double").alias(f) for f in features]
     )
-    long = long_form(narrow, ["label"], features, "feature", "x")
-    x, y = F.col("x"), F.col("label")
+    long = long_form(narrow, ["__label"], features, "feature", "x")
+    x, y = F.col("x"), F.col("__label")
     moments = long.filter(x.isNotNull() & y.isNotNull()).groupBy("feature").agg(
         F.count("*").alias("n"),
         F.covar_pop(x, y).alias("xy"),

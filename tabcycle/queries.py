@@ -17,7 +17,7 @@ from tabcycle.functions.columns import column_types, columns_of_type, shape_fram
 from tabcycle.functions.text import regex_first, translate_values
 from tabcycle.operators.assembly import FeatureAssembly
 from tabcycle.operators.encoders import CastColumns, DropColumns, OneHotColumns, OrdinalMap, RegexNumber
-from tabcycle.operators.inference import infer
+from tabcycle.operators.inference import ModelInference, infer
 from tabcycle.operators.reports import FeatureScores, ModelScores
 from tabcycle.operators.split import class_rows, stratified_split, unlabelled_rows
 from tabcycle.plans.curves import average_precision, roc_auc
@@ -374,8 +374,8 @@ def split_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def apply_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
-    scored = infer(quantity_model(), lines, apply_cutoff=True, cutoff=0.3)
-    return scored.select("l_orderkey", "l_linenumber", "prob_raw", "prediction_with_threshold", "prediction")
+    stage = ModelInference(model=quantity_model(), applyCutoff=True, cutoff=0.3)
+    return stage.transform(lines).select("l_orderkey", "l_linenumber", "prob_raw", "prediction_with_threshold", "prediction")
 
 
 @query(

@@ -21,7 +21,7 @@ def append_log(log: DataFrame, location: str) -> None:
     A log has a few rows per run; one file per date keeps the table from
     filling up with tiny files.
     """
-    log.coalesce(1).write.mode("append").partitionBy("capture_date").parquet(location)
+    log.repartition(1).write.mode("append").partitionBy("capture_date").parquet(location)
 
 
 def read_log(spark: SparkSession, location: str, schema) -> DataFrame:

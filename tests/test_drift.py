@@ -42,6 +42,12 @@ def test_null_is_no_category_but_counts_as_a_row(spark):
     assert rows == {"a": (0.5, 0.5), "b": (0.25, 0.5)}
 
 
+def test_categories_of_two_types_meet(spark):
+    a, b = frame(spark, [1, 0], "int"), frame(spark, [1.0, 0.0], "double")
+    assert js_divergence(a, b, ["c"]).first().js_divergence == pytest.approx(0.0, abs=1e-15)
+    assert js_divergence(a, frame(spark, ["1", "0"]), ["c", "c"]).first().js_divergence == pytest.approx(0.0, abs=1e-15)
+
+
 def test_js_reads_each_side_once(spark, tmp_path):
     frame(spark, "aab").write.parquet(str(tmp_path / "a"))
     frame(spark, "abb").write.parquet(str(tmp_path / "b"))
