@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabcycle.llm.common import documents
+from tabcycle.llm.host_rules import judge_documents
+from tabcycle.llm.language_id import held_out, identify
 from tabcycle.llm.line_dedup import drop_repeated_lines
 from tabcycle.llm.mixing import mix
+from tabcycle.llm.private_data import KINDS, private_spans
 from tabcycle.llm.sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +23,21 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op2_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_spans(documents(spark, sf_dir))
+    counts = [f"n_{kind}" for kind in KINDS]
+    base = F.sha2("base_spans", 256).alias("base_sha256")
+    return found.select(F.col("id").alias("doc_id"), *counts, base, "spans", "n_disguised")
+
+
+@query
+def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_documents(documents(spark, sf_dir))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select(F.col("id").alias("doc_id"), *counts, "base_failed", "kept")
+
+
 @query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(documents(spark, sf_dir))
@@ -32,3 +50,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir), ["doc_id"]).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score"
+    )

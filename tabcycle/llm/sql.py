@@ -56,7 +56,50 @@ freed AS (
   FROM judged GROUP BY doc_id)
 """
 
+HOST_RULES = rf"""
+words AS (
+  SELECT doc_id, source, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+  FROM (SELECT doc_id, source, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents)),
+grams AS (
+  SELECT doc_id, pos, word || ' ' || lead(word) OVER d || ' ' || lead(word, 2) OVER d AS gram
+  FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+often AS (
+  SELECT doc_id, pos FROM grams WHERE gram IS NOT NULL
+  QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
+repeated AS (
+  SELECT doc_id, count(DISTINCT pos + s) AS n FROM often, (SELECT unnest([0, 1, 2]) AS s) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+dups AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n, count(*) AS n_lines
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+counted AS (
+  SELECT d.doc_id, d.source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS n_words,
+         length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         coalesce(dups.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(dups.n_lines, 0) AS n_lines
+  FROM documents d LEFT JOIN dups USING (doc_id) LEFT JOIN repeated r USING (doc_id)),
+ruled AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         10 * n_symbols > word_chars OR (n_dup_lines > 0 AND 2 * n_dup_lines >= n_lines) AS more_failed
+  FROM counted),
+hosts AS (
+  SELECT source, count(*) AS docs, count(*) FILTER (base_failed OR more_failed) AS failed FROM ruled GROUP BY source),
+prior AS (
+  SELECT avg(failed / docs) AS m, var_pop(failed / docs) AS v FROM hosts),
+rated AS (
+  SELECT source, CASE WHEN v > 0 AND m * (1 - m) / v - 1 > 0
+      THEN (m * (m * (1 - m) / v - 1) + failed) / ((m * (1 - m) / v - 1) + docs)
+      WHEN v > 0 THEN failed / docs ELSE m END AS rate
+  FROM hosts, prior)
+"""
+
 SQL: dict[str, str] = {
+    "op3_host_rules": f"""WITH {HOST_RULES}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT rate > 0.5 AS kept
+FROM ruled JOIN rated ON ruled.source IS NOT DISTINCT FROM rated.source""",
     "op5_mix_sources": f"WITH {MIX} SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed".replace(
         "DOCS", "documents"
     ),
