@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import _parse_datatype_string
 
 #: The white space that separates words, as a Java and Python class.
 SPACES = " \t\n\x0b\x0c\r"
@@ -41,7 +41,7 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 def arrow_map(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict]) -> DataFrame:
     """Rows made batch by batch; `each` gives the columns of the rows for one batch."""
-    fields = to_arrow_schema(_struct(schema))
+    fields = arrow_fields(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -51,8 +51,8 @@ def arrow_map(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict]
     return df.mapInArrow(run, schema)
 
 
-def _struct(schema: str) -> StructType:
-    return _parse_datatype_string(schema)
+def arrow_fields(schema: str) -> pa.Schema:
+    return to_arrow_schema(_parse_datatype_string(schema))
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabcycle.llm.bpe import encode_digests
 from tabcycle.llm.common import documents
 from tabcycle.llm.host_rules import judge_documents
 from tabcycle.llm.language_id import held_out, identify
@@ -14,6 +16,7 @@ from tabcycle.llm.line_dedup import drop_repeated_lines
 from tabcycle.llm.mixing import mix
 from tabcycle.llm.private_data import KINDS, private_spans
 from tabcycle.llm.sql import SQL  # noqa: F401
+from tabcycle.llm.token_files import token_digests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,6 +41,12 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), *counts, "base_failed", "kept")
 
 
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(documents(spark, sf_dir))
@@ -57,3 +66,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir), ["doc_id"]).select(
         "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score"
     )
+
+
+@query
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
