@@ -17,6 +17,7 @@ from tabcycle.llm.mixing import mix
 from tabcycle.llm.private_data import KINDS, private_spans
 from tabcycle.llm.sql import SQL  # noqa: F401
 from tabcycle.llm.token_files import token_digests
+from tabcycle.llm.vector_pairs import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -55,6 +56,12 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(documents(spark, sf_dir))
