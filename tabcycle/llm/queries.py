@@ -14,6 +14,7 @@ from tabcycle.llm.host_rules import judge_documents
 from tabcycle.llm.language_id import held_out, identify
 from tabcycle.llm.line_dedup import drop_repeated_lines
 from tabcycle.llm.mixing import mix
+from tabcycle.llm.near_docs import near_documents
 from tabcycle.llm.private_data import KINDS, private_spans
 from tabcycle.llm.sql import SQL  # noqa: F401
 from tabcycle.llm.token_files import token_digests
@@ -56,6 +57,12 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_documents(documents(spark, sf_dir))
+    return found.select(F.col("id").alias("doc_id"), F.col("component").alias("class_id"), "kept", "copies_of")
+
+
 @query
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
