@@ -17,6 +17,7 @@ from tabcycle.llm.mixing import mix
 from tabcycle.llm.near_docs import near_documents
 from tabcycle.llm.private_data import KINDS, private_spans
 from tabcycle.llm.sql import SQL  # noqa: F401
+from tabcycle.llm.suffix_dedup import drop_repeats
 from tabcycle.llm.token_files import token_digests
 from tabcycle.llm.vector_pairs import near_vectors
 
@@ -28,6 +29,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op2_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = private_spans(documents(spark, sf_dir))
