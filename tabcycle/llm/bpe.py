@@ -289,11 +289,11 @@ def encode_documents(
 
 
 def encode_digests(
-    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
 ) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256, decoded_chars): the encoding without its bulk."""
+    """(id, n_tokens, ids_sha256, decoded_sha256, decoded_chars[, ids]): the encoding without the decoded text."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    names = ["n_tokens", "ids_sha256", "decoded_sha256", "decoded_chars"]
+    names = ["n_tokens", "ids_sha256", "decoded_sha256", "decoded_chars", "ids"][: 5 if with_ids else 4]
 
     def each(batch: pa.RecordBatch) -> dict:
         cut, tokens = codec(path, pattern)
@@ -304,11 +304,11 @@ def encode_digests(
                 digest.update(piece)
                 chars += len(stream.feed(piece))
             chars += len(stream.close())
-            row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), digest.hexdigest(), chars)
-            for name, value in zip(names, row, strict=True):
+            row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), digest.hexdigest(), chars, ids)
+            for name, value in zip(names, row, strict=False):
                 out[name].append(value)
         return {"id": batch.column(0)} | out
 
     kind = dict(rows.dtypes)["id"]
     schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, decoded_chars bigint"
-    return arrow_map(rows, schema, each)
+    return arrow_map(rows, schema + ", ids binary" * with_ids, each)
