@@ -20,13 +20,15 @@ from tabcycle.llm.common import arrow_map, components, stored, texts_of, work_fo
 
 SHINGLE = 5
 LEAST = 0.8
-BANDS, ROWS = 12, 3
+BANDS, ROWS = 20, 5
 #: Document frequencies are counted in this many slots that shingles are hashed to: a table of fixed size.
 SLOTS, CHUNK = 1 << 18, 1 << 14
 SEED = 77
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 U = np.uint64
+#: Pairs that one band may ask for in one round; larger bands take more rounds.
+PAIRS = 16_384
 #: Characters of text that are in work at one time.
 AT_ONCE = 1_000_000
 
@@ -198,6 +200,12 @@ def similarity(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, idf
     return both / (all_ - both) if all_ > both else 1.0
 
 
+def weight_class(hashes: np.ndarray, counts: np.ndarray, idf: np.ndarray, least: float) -> int:
+    """Sets of classes more than one apart differ in weight by more than similar ones can."""
+    weight = float((counts * idf[slots(hashes)].astype(np.float64)).sum())
+    return int(np.floor(np.log(weight) / -np.log(min(least, 0.99)) + 1e-9)) if weight > 0 else 0
+
+
 def near_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST, folder: str | None = None
 ) -> DataFrame:
@@ -208,9 +216,11 @@ def near_documents(
     are compared once, by their smallest id. Ids should be distinct and not null: rows of one id share a
     class only by their texts. Texts without words are linked by equality alone.
 
-    Members of a band are not compared all with all. Every round a band picks a few pivots outside its
-    largest component, and each meets the members outside its own component. A band is done when it has one
-    component or all members outside the largest have been pivots, so no link between components is lost.
+    A band is first cut by the weight of the sets: similar sets have weights in the same or in neighbouring
+    classes, so each set is a member of its own class and the next. Members are not compared all with all:
+    every round a band picks pivots outside its largest component (one to a few, all in a small band), and
+    each meets the members outside its own component. A band is done when it has one component or all
+    members outside the largest have been pivots, so no link between components is lost.
     """
     folder = folder or work_folder(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -219,21 +229,27 @@ def near_documents(
 
     def sign(batch: pa.RecordBatch) -> dict:
         keys: list = []
+        classes: list = []
         for some in parts(texts_of(batch)):
-            keys += band_keys(list(shingle_sets(some)), idf)
+            sets = list(shingle_sets(some))
+            keys += band_keys(sets, idf)
+            classes += [weight_class(hashes, counts, idf, least) for hashes, counts in sets]
         index = batch.schema.get_field_index
-        return {n: batch.column(index(n)) for n in ("id", "h1", "h2")} | {"bands": keys}
+        return {n: batch.column(index(n)) for n in ("id", "h1", "h2")} | {"bands": keys, "class": classes}
 
     hashed = rows.select("id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
     signed = stored(
-        arrow_map(hashed, f"id {kind}, h1 bigint, h2 bigint, bands array<bigint>", sign), f"{folder}/signed"
+        arrow_map(hashed, f"id {kind}, h1 bigint, h2 bigint, bands array<bigint>, class int", sign), f"{folder}/signed"
     )
     classes = stored(
-        signed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), f"{folder}/classes"
+        signed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("class").alias("class")),
+        f"{folder}/classes",
     )
-    banded = classes.select("rep", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    members = stored(banded.join(shared, "key").select("key", F.col("rep").alias("id")), f"{folder}/members")
+    near_classes = F.explode(F.array("class", F.col("class") + 1)).alias("class")
+    banded = classes.select("rep", "bands", near_classes).select("rep", "class", F.explode("bands").alias("band"))
+    banded = banded.select("rep", F.xxhash64("band", "class").alias("key"))
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = stored(banded.join(shared, "key").select("key", F.col("rep").alias("id"), "n"), f"{folder}/members")
     links = linked(rows, members, idf, least, kind, folder)
     named = classes.select("h1", "h2", "rep")
     named = named.join(links, named.rep == links.node, "left").select(
@@ -275,7 +291,7 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
         return out
 
     edges = spark.createDataFrame([], f"a {kind}, b {kind}")
-    met = spark.createDataFrame([], f"pivot {kind}, id {kind}")
+    met = spark.createDataFrame([], f"a {kind}, b {kind}")
     pivots = spark.createDataFrame([], f"key bigint, id {kind}, was boolean")
     named = spark.createDataFrame([], f"node {kind}, component {kind}")
     step = 0
@@ -284,39 +300,47 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
         placed = (
             members.join(named, members.id == named.node, "left")
             .join(pivots, ["key", "id"], "left")
-            .select("key", "id", F.coalesce("component", "id").alias("c"), F.col("was").isNull().alias("new"))
+            .select("key", "id", "n", F.coalesce("component", "id").alias("c"), F.col("was").isNull().alias("new"))
         )
-        placed = stored(placed, f"{at}/placed")
-        groups = (
-            placed.withColumn("slice", F.abs(F.xxhash64("id")) % 8)
-            .groupBy("key", "c", "slice")
-            .agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("new"), F.col("id"))).alias("pivot"))
+        parts_of = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
+        largest = parts_of.groupBy("key").agg(F.max(F.struct("size", "c")).alias("main"), F.count(F.lit(1)).alias("parts"))
+        # Only bands with several components go on.
+        placed = stored(
+            placed.join(largest.filter("parts > 1"), "key").select("key", "id", "n", "c", "new", F.col("main.c").alias("main")),
+            f"{at}/placed",
+        )
+        at_once = F.ceil(F.lit(PAIRS) / F.col("n"))
+        slices = F.when(at_once >= F.col("n"), F.xxhash64("id")).otherwise(
+            F.abs(F.xxhash64("id")) % (at_once if step else F.lit(1))
         )
-        per = groups.groupBy("key", "c").agg(F.sum("n").alias("n"), F.collect_list("pivot").alias("pivots"))
-        largest = per.groupBy("key").agg(F.max(F.struct("n", "c")).alias("main"), F.count(F.lit(1)).alias("parts"))
         chosen = (
-            groups.join(largest.filter("parts > 1"), "key")
-            .filter("c <> main.c AND pivot IS NOT NULL")
-            .groupBy("key", "slice")
-            .agg(F.min(F.struct("pivot", "c")).alias("p"))
-            .select("key", F.col("p.pivot").alias("pivot"), F.col("p.c").alias("own"))
+            placed.filter("new AND c <> main")
+            .groupBy("key", slices.alias("slice"))
+            .agg(F.min(F.struct("id", "c")).alias("p"))
+            .select("key", F.col("p.id").alias("pivot"), F.col("p.c").alias("own"))
         )
         chosen = stored(chosen, f"{at}/pivots")
         if not chosen.limit(1).count():
             return named
-        pivots = pivots.union(chosen.select("key", F.col("pivot").alias("id"), F.lit(True)))
-        pairs = placed.join(chosen, "key").filter("c <> own").select("pivot", "id").distinct()
-        pairs = stored(pairs.join(met, ["pivot", "id"], "left_anti"), f"{at}/pairs")
-        met = met.union(pairs)
+        pairs = (
+            placed.join(chosen, "key")
+            .filter("c <> own")
+            .select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
+            .distinct()
+        )
+        pairs = stored(pairs.join(met, ["a", "b"], "left_anti"), f"{at}/pairs")
+        pivots = stored(pivots.union(chosen.select("key", F.col("pivot").alias("id"), F.lit(True))), f"{at}/all-pivots")
+        met = stored(met.union(pairs), f"{at}/met")
         known = vectors
-        if (n := pairs.count()) <= 20_000:
-            # Few pairs, at most as many ids twice over: reading their vectors needs no shuffle of the others.
-            ids = pairs.select(F.col("pivot").alias("id")).union(pairs.select("id")).distinct()
+        if pairs.count() <= 20_000:
+            # Few pairs, at most twice as many ids: reading their vectors needs no shuffle of the others.
+            ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
             known = vectors.join(F.broadcast(ids), "id", "left_semi")
-        right = known.select("id", F.col("hashes").alias("hb"), F.col("counts").alias("cb"))
-        left = known.select(F.col("id").alias("pivot"), F.col("hashes").alias("ha"), F.col("counts").alias("ca"))
-        full = pairs.join(right, "id").join(left, "pivot").select("pivot", "id", "ha", "ca", "hb", "cb")
-        found = stored(arrow_map(full, f"a {kind}, b {kind}", verify), f"{at}/links") if n else edges.limit(0)
-        edges = edges.union(found)
-        named = components(edges, f"{at}/graph")
+        left = known.select(F.col("id").alias("a"), F.col("hashes").alias("ha"), F.col("counts").alias("ca"))
+        right = known.select(F.col("id").alias("b"), F.col("hashes").alias("hb"), F.col("counts").alias("cb"))
+        full = pairs.join(right, "b").join(left, "a").select("a", "b", "ha", "ca", "hb", "cb")
+        found = stored(arrow_map(full, f"a {kind}, b {kind}", verify), f"{at}/links")
+        if found.limit(1).count():
+            edges = stored(edges.union(found), f"{at}/edges")
+            named = components(edges, f"{at}/graph")
         step += 1
