@@ -54,7 +54,7 @@ class _OneHotParams(Params):
         Params._dummy(), "dropLast", "leave out the last indicator of several", TypeConverters.toBoolean
     )
     maxCategories = Param(
-        Params._dummy(), "maxCategories", "most values one column may have", TypeConverters.toInt
+        Params._dummy(), "maxCategories", "most values one column may have, 0 for any number", TypeConverters.toInt
     )
 
 
@@ -74,10 +74,10 @@ class OneHotColumns(Estimator, _OneHotParams, _Stored):
         dropCols: list[str] | None = None,
         dropOriginal: bool = True,
         dropLast: bool = True,
-        maxCategories: int = 1000,
+        maxCategories: int = 0,
     ):
         super().__init__()
-        self._setDefault(excludeCategories={}, dropOriginal=True, dropLast=True, maxCategories=1000)
+        self._setDefault(excludeCategories={}, dropOriginal=True, dropLast=True, maxCategories=0)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "OneHotColumnsModel":
@@ -93,15 +93,18 @@ class OneHotColumns(Estimator, _OneHotParams, _Stored):
         return model._resetUid(self.uid)
 
     def _learn(self, df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-        # The values become columns, so a limit on their number bounds what the driver reads.
+        # The values become columns, whose names the driver holds anyway.
         most = self.getOrDefault("maxCategories")
         exclude = self.getOrDefault("excludeCategories")
-        found = category_values(df, columns, exclude).limit(most * len(columns) + 1).collect()
+        if not columns:
+            return {}
+        found = category_values(df, columns, exclude)
+        found = (found.limit(most * len(columns) + 1) if most else found).collect()
         learned: dict[str, list[str]] = {c: [] for c in columns}
         for row in found:
             learned[row["feature"]].append(row["value"])
         for column, values in learned.items():
-            if len(values) > most:
+            if most and len(values) > most:
                 raise ValueError(
                     f"column {column!r} has more than maxCategories={most} values; "
                     "it is not a category, or the limit must be raised"

@@ -89,8 +89,11 @@ def ks_two_sample(left: DataFrame, right: DataFrame, features: Sequence[str]) ->
     """Rows (feature, distance, p_value, n_left, n_right) of the two-sided two-sample test.
 
     NULLs are left out per feature and side. The distance is exact; the p-value
-    is the large-sample one.
+    is the large-sample one. No features give no rows.
     """
+    if not features:
+        empty = "feature string, distance double, p_value double, n_left bigint, n_right bigint"
+        return left.sparkSession.createDataFrame([], empty)
     values = _both_sides(left, right, features, "double")
     counts = values.groupBy("feature", "value", "__side").agg(F.count("*").alias("n"))
     kinds = {"left": F.col("__side") == 0, "right": F.col("__side") == 1}

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame, functions as F
 
-from tabcycle.functions.columns import long_form, named, nan_to_null
+from tabcycle.functions.columns import named, nan_to_null
 from tabcycle.functions.tails import f_tail
 from tabcycle.operators.assembly import assemble
 from tabcycle.plans.drift import feature_log_rows, stamped_feature_log
@@ -17,8 +17,10 @@ from tabcycle.plans.drift import feature_log_rows, stamped_feature_log
 def chi_square_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Rows (feature, p_value, dof, statistic): Pearson's independence test of each feature.
 
-    Features must be indicators or other numbers with few values.
+    Features must be indicators or other numbers with few values. No features give no rows.
     """
+    if not features:
+        return df.sparkSession.createDataFrame([], "feature string, p_value double, dof int, statistic double")
     vectors = assemble(df.select(*map(named, features), named(label)), list(features), "__features")
     tests = ChiSquareTest.test(vectors.select("__features", named(label)), "__features", label, flatten=True)
     feature_names = F.array(*[F.lit(f) for f in features])
@@ -33,21 +35,27 @@ def chi_square_scores(df: DataFrame, features: Sequence[str], label: str) -> Dat
 def f_test_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Rows (feature, n, f_value, p_value): the test of the slope of `feature` on the label.
 
-    One pass and k rows of shuffle for k features. NULL where the feature or the
-    label is constant. The label is taken as a number, so with two classes this
+    One pass and one row of moments per task for all features. NULL where the feature or the
+    label is constant; no features give no rows. The label is taken as a number, so with two classes this
     is the one-way analysis of variance.
     """
-    narrow = df.select(
-        named(label).cast("double").alias("__label"), *[named(f).cast("double").alias(f) for f in features]
-    )
-    long = long_form(narrow, ["__label"], features, "feature", "x")
-    x, y = F.col("x"), F.col("__label")
-    moments = long.filter(x.isNotNull() & y.isNotNull()).groupBy("feature").agg(
-        F.count("*").alias("n"),
-        F.covar_pop(x, y).alias("xy"),
-        F.var_pop(x).alias("xx"),
-        F.var_pop(y).alias("yy"),
-    )
+    if not features:
+        return df.sparkSession.createDataFrame([], "feature string, n bigint, f_value double, p_value double")
+    y = named(label).cast("double")
+    rows = []
+    for feature in features:
+        x = named(feature).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        rows.append(
+            F.struct(
+                F.lit(feature).alias("feature"),
+                F.count_if(both).alias("n"),
+                F.covar_pop(x, y).alias("xy"),
+                F.var_pop(F.when(both, x)).alias("xx"),
+                F.var_pop(F.when(both, y)).alias("yy"),
+            )
+        )
+    moments = df.agg(F.array(*rows).alias("rows")).select(F.inline("rows")).filter("n > 0")
     r2 = F.try_divide(F.col("xy") * F.col("xy"), F.col("xx") * F.col("yy"))
     f_value = F.when(F.col("r2") >= 1.0, F.lit(float("inf"))).otherwise(
         F.try_divide("r2", 1.0 - F.col("r2")) * (F.col("n") - 2)

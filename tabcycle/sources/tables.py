@@ -18,10 +18,9 @@ def read_table(
 def append_log(log: DataFrame, location: str) -> None:
     """Append a metric, feature-score or drift log to its table, one folder per capture date.
 
-    A log has a few rows per run; one file per date keeps the table from
-    filling up with tiny files.
+    The rebalance keeps the few rows of a run in one file per date and splits a large log.
     """
-    log.repartition(1).write.mode("append").partitionBy("capture_date").parquet(location)
+    log.hint("rebalance", "capture_date").write.mode("append").partitionBy("capture_date").parquet(location)
 
 
 def read_log(spark: SparkSession, location: str, schema) -> DataFrame:
