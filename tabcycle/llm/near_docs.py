@@ -23,6 +23,8 @@ LEAST = 0.8
 BANDS, ROWS = 20, 5
 #: Document frequencies are counted in this many slots that shingles are hashed to: a table of fixed size.
 SLOTS, CHUNK = 1 << 18, 1 << 14
+#: Bits that index the table of random draws.
+DRAWS = 18
 SEED = 77
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -95,7 +97,8 @@ def parts(texts: list[str]) -> Iterator[list[str]]:
 
 
 def slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> U(20)).astype(np.int64) & (SLOTS - 1)
+    """Slots of hashes, in the order of the hashes."""
+    return (hashes >> U(46)).astype(np.int64)
 
 
 def document_frequencies(docs: DataFrame, folder: str) -> tuple[np.ndarray, int]:
@@ -110,7 +113,8 @@ def document_frequencies(docs: DataFrame, folder: str) -> tuple[np.ndarray, int]
         for batch in batches:
             for some in parts(texts_of(batch)):
                 for hashes, _ in shingle_sets(some):
-                    table[np.unique(slots(hashes))] += 1
+                    own = slots(hashes)
+                    table[own[np.diff(own, prepend=-1) > 0]] += 1
             n += batch.num_rows
         if n:
             pieces = table.reshape(-1, CHUNK)
@@ -151,15 +155,35 @@ def idf_table(frequencies: np.ndarray, n: int) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def variates() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tables of Gamma(2, 1), logs of Gamma(2, 1), and uniform numbers that hashes index."""
+    """Draws of r and c from Gamma(2, 1) that hashes index: r, log c, and log c - r, by which they are ordered."""
     rng = np.random.Generator(np.random.PCG64(SEED))
-    n = 1 << 16
-    r = rng.gamma(2.0, 1.0, n).astype(np.float32)
-    return np.maximum(r, np.float32(1e-6)), np.log(rng.gamma(2.0, 1.0, n)).astype(np.float32), rng.random(n, np.float32)
+    r = np.maximum(rng.gamma(2.0, 1.0, 1 << DRAWS), 1e-6).astype(np.float32)
+    log_c = np.log(rng.gamma(2.0, 1.0, 1 << DRAWS)).astype(np.float32)
+    order = np.argsort(log_c - r, kind="stable")
+    r, log_c = r[order], log_c[order]
+    return r, log_c, log_c - r
+
+
+def draw(products: np.ndarray, mixed: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The step t and the log of the sampled value of elements, from their hashes under one function.
+
+    The products index r and c; the uniform number comes from `mixed`.
+    """
+    gamma, log_gamma, _ = variates()
+    at = products >> np.uint32(32 - DRAWS)
+    r = gamma[at]
+    uniform = ((mixed ^ (mixed >> U(32))) * U(0xBF58476D1CE4E5B9) >> U(40)).astype(np.float32) * np.float32(2**-24)
+    t = np.floor(logs / r + uniform)
+    return t, log_gamma[at] - r * (t - uniform + 1)
 
 
 def band_keys(sets: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> list[list[int] | None]:
-    """Per set the keys of its bands; none for an empty set."""
+    """Per set the keys of its bands; none for an empty set.
+
+    The least value of a set of weight W is below log(8 / W) but for one draw in 3,000, and a value is never
+    below log c - r - log w. So one comparison of hashes tells which elements can be the least one; only these
+    are drawn. Where none of them is below the bound, the whole set is drawn: samples are the same either way.
+    """
     filled = [nth for nth, (hashes, _) in enumerate(sets) if len(hashes)]
     out: list[list[int] | None] = [None] * len(sets)
     if not filled:
@@ -169,21 +193,36 @@ def band_keys(sets: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> lis
     sizes = np.array([len(sets[nth][0]) for nth in filled])
     starts = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(filled)), sizes)
-    logs = np.log(counts.astype(np.float32) * idf[slots(hashes)])
-    gamma, log_gamma, uniform = variates()
-    seeds = mix(np.arange(1, BANDS * ROWS + 1, dtype=U) * U(0x9E3779B97F4A7C15))
+    weights = counts.astype(np.float32) * idf[slots(hashes)]
+    logs = np.log(weights)
+    bound = np.log(8.0 / np.add.reduceat(weights.astype(np.float64), starts)).astype(np.float32)
+    # Single precision is good to less than the thousandth that is added.
+    passed = np.searchsorted(variates()[2], bound[owner] + logs + np.float32(1e-3), side="right")
+    limit = ((np.maximum(passed, 1) << (32 - DRAWS)) - 1).astype(np.uint32)
+    factors = mix(np.arange(1, BANDS * ROWS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
     keys = np.zeros((len(filled), BANDS), U)
-    for nth, seed in enumerate(seeds):
-        drawn = (hashes ^ seed) * U(0xBF58476D1CE4E5B9)
-        drawn ^= drawn >> U(32)
-        drawn *= U(0x94D049BB133111EB)
-        three = drawn.view(np.uint16).reshape(-1, 4)
-        r, b = gamma[three[:, 1]], uniform[three[:, 2]]
-        t = np.floor(logs / r + b)
-        value = log_gamma[three[:, 3]] - r * (t - b + 1)
-        hit = np.flatnonzero(value == np.minimum.reduceat(value, starts)[owner])
-        hit = hit[np.searchsorted(owner[hit], np.arange(len(filled)))]
-        sample = mix(hashes[hit] + t[hit].astype(np.int64).astype(U) * U(0x9E3779B97F4A7C15))
+    high = (hashes >> U(32)).astype(np.uint32)
+    products, possible = np.empty_like(high), np.empty(len(high), bool)
+    for nth, factor in enumerate(factors):
+        np.multiply(high, factor.astype(np.uint32), out=products)
+        some = np.flatnonzero(np.less_equal(products, limit, out=possible))
+        t, value = draw(products[some], hashes[some] * factor, logs[some])
+        best, step = np.zeros(len(filled), np.int64), np.zeros(len(filled), np.float32)
+        sure = np.zeros(len(filled), bool)
+        if len(some):
+            opens = np.concatenate(([True], np.diff(owner[some]) > 0))
+            segment = np.cumsum(opens) - 1
+            least = np.minimum.reduceat(value, np.flatnonzero(opens))
+            hit = np.flatnonzero(value == least[segment])
+            hit = hit[np.concatenate(([True], np.diff(segment[hit]) > 0))]
+            whose = owner[some[hit]]
+            best[whose], step[whose], sure[whose] = some[hit], t[hit], least <= bound[whose]
+        for one in np.flatnonzero(~sure):
+            own = slice(starts[one], starts[one] + sizes[one])
+            t, value = draw(products[own], hashes[own] * factor, logs[own])
+            at = int(np.argmin(value))
+            best[one], step[one] = starts[one] + at, t[at]
+        sample = mix(hashes[best] + step.astype(np.int64).astype(U) * U(0x9E3779B97F4A7C15))
         band = nth // ROWS
         keys[:, band] = mix(keys[:, band] * U(31) + sample + U(band))
     for nth, row in zip(filled, keys.view(np.int64).tolist(), strict=True):
