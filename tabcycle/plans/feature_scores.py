@@ -5,31 +5,46 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.ml.stat import ChiSquareTest
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tabcycle.functions.columns import named, nan_to_null
-from tabcycle.functions.tails import f_tail
-from tabcycle.operators.assembly import assemble
+from tabcycle.functions.columns import long_form, named, nan_to_null
+from tabcycle.functions.tails import chi_square_tail, f_tail
 from tabcycle.plans.drift import feature_log_rows, stamped_feature_log
 
 
 def chi_square_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Rows (feature, p_value, dof, statistic): Pearson's independence test of each feature.
 
-    Features must be indicators or other numbers with few values. No features give no rows.
+    Features and label are taken as numbers, with any number of values. A row with NULL in a feature or in the
+    label is left out for that feature; a feature without rows gives none, and no features give none.
+
+    Rows are counted per value and label first; only these counts go further. A pair that never occurs adds
+    what is expected of it: the value's rows times the share of the labels it was never seen with.
     """
     if not features:
         return df.sparkSession.createDataFrame([], "feature string, p_value double, dof int, statistic double")
-    vectors = assemble(df.select(*map(named, features), named(label)), list(features), "__features")
-    tests = ChiSquareTest.test(vectors.select("__features", named(label)), "__features", label, flatten=True)
-    feature_names = F.array(*[F.lit(f) for f in features])
-    return tests.select(
-        F.get(feature_names, F.col("featureIndex")).alias("feature"),
-        F.col("pValue").alias("p_value"),
-        F.col("degreesOfFreedom").alias("dof"),
-        "statistic",
+    narrow = df.select(
+        named(label).cast("double").alias("__label"), *[named(f).cast("double").alias(f) for f in dict.fromkeys(features)]
+    )
+    long = long_form(narrow, ["__label"], list(dict.fromkeys(features)), "feature", "value")
+    known = long.filter(F.col("value").isNotNull() & F.col("__label").isNotNull())
+    cells = known.groupBy("feature", "value", "__label").agg(F.count("*").alias("n"))
+    by_label = cells.groupBy("feature", "__label").agg(F.sum("n").alias("of_label"))
+    totals = by_label.groupBy("feature").agg(F.sum("of_label").alias("total"), F.count("*").alias("labels"))
+    of_value = F.sum("n").over(Window.partitionBy("feature", "value"))
+    expected = F.col("of_value").cast("double") * F.col("of_label") / F.col("total")
+    seen = cells.withColumn("of_value", of_value).join(by_label, ["feature", "__label"]).join(totals, "feature")
+    unseen = F.first("of_value").cast("double") * (F.first("total") - F.sum("of_label")) / F.first("total")
+    per_value = seen.groupBy("feature", "value").agg(
+        (F.sum((F.col("n") - expected) * (F.col("n") - expected) / expected) + unseen).alias("part"),
+        F.first("labels").alias("labels"),
+    )
+    tests = per_value.groupBy("feature").agg(
+        F.sum("part").alias("statistic"),
+        ((F.count("*") - 1) * (F.first("labels") - 1)).cast("int").alias("dof"),
     )
+    p_value = chi_square_tail(F.col("statistic"), F.col("dof"))
+    return tests.select("feature", p_value.alias("p_value"), "dof", "statistic")
 
 
 def f_test_scores(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:

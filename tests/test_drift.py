@@ -1,7 +1,10 @@
 import math
+from decimal import Decimal, getcontext
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from conftest import executed_plan
@@ -180,3 +183,38 @@ def test_feature_report_shape(spark):
     rows = {r.Feature_name: r for r in report.collect()}
     assert rows["a"].Metric_name == "Chi-Square test - pValue" and rows["a"].Metric_value == 0.01
     assert rows["flat"].Metric_value is None and rows["x"].Label_category == "Continous"
+
+
+def test_f_tail_keeps_its_digits(spark):
+    """Even degrees of freedom have a finite sum; in 400 digits nothing cancels."""
+    getcontext().prec = 400
+
+    def exact(f, d):
+        cos2 = Decimal(d) / (Decimal(d) + Decimal(f))
+        term = total = Decimal(1)
+        for k in range(1, d // 2):
+            term *= cos2 * (2 * k - 1) / (2 * k)
+            total += term
+        return float(1 - (1 - cos2).sqrt() * total)
+
+    cases = [(f, d) for f in (0.01, 1.0, 4.0, 100.0, 300.0, 1200.0) for d in (2, 4, 10, 998, 1000, 1002, 20000)]
+    df = spark.createDataFrame(cases, "f double, n long").select("f", "n", f_tail(F.col("f"), F.col("n")).alias("p"))
+    for r in df.collect():
+        assert r.p == pytest.approx(exact(r.f, r.n), rel=1e-9, abs=0), (r.f, r.n)
+
+
+def test_chi_square_of_many_values(spark, jobs):
+    """Against MLlib: more than two values and labels, pairs that never occur."""
+    rng = np.random.default_rng(8)
+    rows = [(int(y), float(x), float(x % 3)) for y, x in zip(rng.integers(0, 3, 400), rng.integers(0, 7, 400)) if x != y]
+    df = spark.createDataFrame(rows, "y int, a double, b double")
+    scores, started = jobs(lambda: chi_square_scores(df, ["a", "b"], "y"))
+    assert started == 0
+    wanted = ChiSquareTest.test(VectorAssembler(inputCols=["a", "b"], outputCol="f").transform(df), "f", "y", True)
+    for got, want in zip(scores.orderBy("feature").collect(), wanted.orderBy("featureIndex").collect(), strict=True):
+        assert got.dof == want.degreesOfFreedom and got.statistic == pytest.approx(want.statistic, rel=1e-12)
+        assert got.p_value == pytest.approx(want.pValue, rel=1e-9, abs=1e-13)
+    with_null = df.union(spark.createDataFrame([(1, None, 2.0), (None, 3.0, 1.0)], df.schema))
+    assert {r.feature: r.statistic for r in chi_square_scores(with_null, ["a"], "y").collect()}["a"] == pytest.approx(
+        scores.filter("feature = 'a'").first().statistic
+    )
