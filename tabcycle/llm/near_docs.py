@@ -29,8 +29,9 @@ SEED = 77
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 U = np.uint64
-#: Pairs that one band may ask for in one round; larger bands take more rounds.
-PAIRS = 16_384
+#: Pairs that one band may ask for in the first round, and by what power of two this grows from round to round:
+#: early rounds join most of a band at little cost, and what they leave takes few more rounds, whatever its size.
+PAIRS, GROWTH = 16_384, 3
 #: Characters of text that are in work at one time.
 AT_ONCE = 1_000_000
 
@@ -329,12 +330,16 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
                 out["b"].append(b)
         return out
 
-    edges = spark.createDataFrame([], f"a {kind}, b {kind}")
-    met = spark.createDataFrame([], f"a {kind}, b {kind}")
-    pivots = spark.createDataFrame([], f"key bigint, id {kind}, was boolean")
+    def of_rounds(last: int, name: str, schema: str) -> DataFrame:
+        """What the rounds so far have written under a name."""
+        paths = [f"{folder}/round-{nth}/{name}" for nth in range(last)]
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
     named = spark.createDataFrame([], f"node {kind}, component {kind}")
     step = 0
     while True:
+        met = of_rounds(step, "pairs", f"a {kind}, b {kind}")
+        pivots = of_rounds(step, "pivots", f"key bigint, id {kind}, own {kind}").select("key", "id", F.lit(True).alias("was"))
         at = f"{folder}/round-{step}"
         placed = (
             members.join(named, members.id == named.node, "left")
@@ -348,7 +353,7 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
             placed.join(largest.filter("parts > 1"), "key").select("key", "id", "n", "c", "new", F.col("main.c").alias("main")),
             f"{at}/placed",
         )
-        at_once = F.ceil(F.lit(PAIRS) / F.col("n"))
+        at_once = F.ceil(F.lit(PAIRS << (GROWTH * step)) / F.col("n"))
         slices = F.when(at_once >= F.col("n"), F.xxhash64("id")).otherwise(
             F.abs(F.xxhash64("id")) % (at_once if step else F.lit(1))
         )
@@ -356,20 +361,18 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
             placed.filter("new AND c <> main")
             .groupBy("key", slices.alias("slice"))
             .agg(F.min(F.struct("id", "c")).alias("p"))
-            .select("key", F.col("p.id").alias("pivot"), F.col("p.c").alias("own"))
+            .select("key", "p.id", F.col("p.c").alias("own"))
         )
         chosen = stored(chosen, f"{at}/pivots")
         if not chosen.limit(1).count():
             return named
         pairs = (
-            placed.join(chosen, "key")
+            placed.join(chosen.withColumnRenamed("id", "pivot"), "key")
             .filter("c <> own")
             .select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
             .distinct()
         )
         pairs = stored(pairs.join(met, ["a", "b"], "left_anti"), f"{at}/pairs")
-        pivots = stored(pivots.union(chosen.select("key", F.col("pivot").alias("id"), F.lit(True))), f"{at}/all-pivots")
-        met = stored(met.union(pairs), f"{at}/met")
         known = vectors
         if pairs.count() <= 20_000:
             # Few pairs, at most twice as many ids: reading their vectors needs no shuffle of the others.
@@ -380,6 +383,7 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
         full = pairs.join(right, "b").join(left, "a").select("a", "b", "ha", "ca", "hb", "cb")
         found = stored(arrow_map(full, f"a {kind}, b {kind}", verify), f"{at}/links")
         if found.limit(1).count():
-            edges = stored(edges.union(found), f"{at}/edges")
-            named = components(edges, f"{at}/graph")
+            # What was joined before stands as stars, so the graph stays as small as its nodes and as shallow.
+            stars = named.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            named = components(stars.union(found), f"{at}/graph")
         step += 1
