@@ -258,9 +258,10 @@ def near_documents(
 
     A band is first cut by the weight of the sets: similar sets have weights in the same or in neighbouring
     classes, so each set is a member of its own class and the next. Members are not compared all with all:
-    every round a band picks pivots outside its largest component (one to a few, all in a small band), and
-    each meets the members outside its own component. A band is done when it has one component or all
-    members outside the largest have been pivots, so no link between components is lost.
+    every round a band picks pivots outside its largest component (one in the first round, more in each later
+    one), and each meets the members outside its own component. A band is done when it has one component or
+    all members outside the largest have been pivots, so no link between components is lost. A band whose
+    members share samples without being linked is thus compared pair by pair in the end.
     """
     folder = folder or work_folder(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
