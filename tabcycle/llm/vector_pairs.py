@@ -44,10 +44,11 @@ class CoverTree:
                 break
             radius /= 2
         self.centres = sample[chosen] if len(sample) else sample
-        #: By level: the nearest node to each leaf, as a number of that level's nodes.
-        self.above = [self.assign(sample[level], self.centres) for level in self.levels]
-        if self.levels:
-            self.above[-1] = np.arange(len(self.centres))
+        #: By level: the node that each leaf descends from, as a number of that level's nodes. It is found parent by
+        #: parent, as leaf_pairs descends, and need not be the level's nearest node to the leaf.
+        self.above = [np.arange(len(self.centres))] if self.levels else []
+        for level, finer in zip(self.levels[-2::-1], self.levels[:0:-1], strict=True):
+            self.above.insert(0, self.assign(sample[level], sample[finer])[self.above[0]])
 
     @staticmethod
     def assign(nodes: np.ndarray, vectors: np.ndarray) -> np.ndarray:

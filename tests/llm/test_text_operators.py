@@ -14,7 +14,7 @@ from tabcycle.llm.mixing import mix, mixed_documents
 from tabcycle.llm.near_docs import SLOTS, idf_table, near_documents, shingle_sets, similarity, slots
 from tabcycle.llm.private_data import disguised, identifiers, masked, private_spans
 from tabcycle.llm.suffix_dedup import drop_repeats, merged, multikey_order
-from tabcycle.llm.vector_pairs import near_vectors
+from tabcycle.llm.vector_pairs import CoverTree, near_vectors
 
 SF_DIR = "/root/testdata/sf0.001"
 tables = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
@@ -193,3 +193,25 @@ def test_near_vectors_equal_brute_force(spark):
     assert [got[n].component for n in range(len(rows))] == names.tolist()
     assert all(got[100 + n].n_links == 0 and got[100 + n].kept for n in range(len(odd)))
     assert near_vectors(frame.limit(0)).count() == 0
+
+
+def on_circle(degrees, plane):
+    rows = np.zeros((len(degrees), 3))
+    rows[:, 0], rows[:, plane] = np.cos(np.radians(degrees)), np.sin(np.radians(degrees))
+    return rows
+
+
+@pytest.mark.parametrize("case", ["angles", *range(5)])
+def test_leaf_pairs_are_all_that_lie_near(case):
+    if case == "angles":
+        sample = np.concatenate([on_circle([-79, 79, -37, 37, -9, 9], 1), on_circle([40.2], 2)])
+    else:
+        sample = np.random.default_rng(case).normal(size=(400, 3))
+        sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    tree = CoverTree(sample)
+    radii, reach = np.full(len(tree.centres), 0.02), 0.316
+    apart = np.linalg.norm(tree.centres[:, None] - tree.centres[None], axis=2)
+    x, y = np.nonzero(np.triu(apart <= 2 * radii[0] + reach))
+    a, b = tree.leaf_pairs(radii, reach)
+    found = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
+    assert found == set(zip(x.tolist(), y.tolist(), strict=True)) and len(found) == len(a)
