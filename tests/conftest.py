@@ -38,8 +38,3 @@ def jobs(spark):
         return result, started
 
     return count
-
-
-def executed_plan(df) -> str:
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]

@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
-from conftest import executed_plan
+from plan_text import executed_plan
 from tabcycle.functions.tails import erfc, f_tail
 from tabcycle.plans.drift import category_distribution, drift_report, js_divergence, kl_divergence, ks_two_sample
 from tabcycle.plans.feature_scores import chi_square_scores, f_test_scores, feature_report

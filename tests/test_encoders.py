@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import executed_plan
+from plan_text import executed_plan
 from tabcycle.functions.columns import columns_of_type, column_types, input_features, shape
 from tabcycle.functions.text import indicator_name, regex_all, regex_first, text_to_number, translate_values
 from tabcycle.operators.assembly import FeatureAssembly
