@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from tabcycle.llm.bpe import encode_digests
 from tabcycle.llm.common import documents
+from tabcycle.llm.divergence import source_divergence
 from tabcycle.llm.host_rules import judge_documents
 from tabcycle.llm.language_id import held_out, identify
 from tabcycle.llm.line_dedup import drop_repeated_lines
+from tabcycle.llm.merkle import edited_neighbours
 from tabcycle.llm.mixing import mix
 from tabcycle.llm.near_docs import near_documents
 from tabcycle.llm.private_data import KINDS, private_spans
+from tabcycle.llm.spelling import spelling_groups
 from tabcycle.llm.sql import SQL  # noqa: F401
 from tabcycle.llm.suffix_dedup import drop_repeats
 from tabcycle.llm.token_files import token_digests
@@ -92,3 +95,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(documents(spark, sf_dir))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_neighbours(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(documents(spark, sf_dir))

@@ -95,6 +95,80 @@ rated AS (
   FROM hosts, prior)
 """
 
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+UPPER, LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+
+MERKLE = """
+neighbours AS (
+  SELECT doc_id, coalesce(text, '') AS own,
+         coalesce(lead(coalesce(text, '')) OVER d, first_value(coalesce(text, '')) OVER d) AS beside
+  FROM documents WINDOW d AS (ORDER BY doc_id DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+edits AS (
+  SELECT doc_id, own, beside, substr(own, 1, length(own) - length(own) // 2) || substr(beside, 1, length(own) // 2) AS edited
+  FROM neighbours),
+texts AS (
+  SELECT doc_id, 'own' AS kind, own AS t FROM edits UNION ALL SELECT doc_id, 'beside', beside FROM edits
+  UNION ALL SELECT doc_id, 'edited', edited FROM edits),
+trees AS (
+  SELECT doc_id, kind, t, list_transform(string_split(t, chr(10)), lambda p:
+    string_split(array_to_string(list_transform(string_split(p, ' '),
+      lambda w: w || CASE WHEN substr(md5(w), 1, 1) < '4' THEN chr(10) ELSE ' ' END), '')[:-2], chr(10))) AS tree
+  FROM texts),
+digests AS (
+  SELECT doc_id, kind, t, list_distinct(flatten(tree)) AS leaves,
+    list_transform(tree, lambda p: sha256(array_to_string(list_transform(p, lambda x: sha256(x)), ''))) AS paragraphs
+  FROM trees),
+parts AS (
+  SELECT *, list_transform(string_split(array_to_string(list_transform(paragraphs, lambda d:
+    d || CASE WHEN d[1] = '0' OR d = sha256(sha256('')) THEN chr(10) ELSE ' ' END), '')[:-2], chr(10)), lambda s: sha256(s)) AS sections
+  FROM digests),
+fingers AS (
+  SELECT doc_id, kind, t, leaves, sections, paragraphs, sha256(array_to_string(sections, '')) AS root,
+    list_sum(list_transform(leaves, lambda x: length(x) + 1)) AS weight FROM parts)
+"""
+MERKLE_ROWS = """
+SELECT o.doc_id, length(o.t)::BIGINT AS n_chars, sha256(e.t) AS edited_sha256, o.root AS fingerprint, e.root AS edited_fingerprint,
+  2.0::DOUBLE * coalesce(list_sum(list_transform(list_intersect(o.leaves, e.leaves), lambda x: length(x) + 1)), 0)::DOUBLE
+    / (o.weight + e.weight)::DOUBLE AS near_edited,
+  2.0::DOUBLE * coalesce(list_sum(list_transform(list_intersect(o.leaves, b.leaves), lambda x: length(x) + 1)), 0)::DOUBLE
+    / (o.weight + b.weight)::DOUBLE AS near_next,
+  len(o.sections)::INTEGER AS n_sections, len(o.paragraphs)::INTEGER AS n_paragraphs,
+  len(list_distinct(list_intersect(o.sections, e.sections)))::INTEGER AS same_sections,
+  len(list_distinct(list_intersect(o.paragraphs, e.paragraphs)))::INTEGER AS same_paragraphs
+FROM fingers o JOIN fingers e ON o.doc_id = e.doc_id AND o.kind = 'own' AND e.kind = 'edited'
+JOIN fingers b ON o.doc_id = b.doc_id AND b.kind = 'beside'"""
+
+DIVERGENCE = f"""
+clean AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+terms AS (
+  SELECT doc_id, lang, source, unnest(regexp_extract_all(translate(text, {UPPER}, {LOWER}), '{TERM}')) AS term FROM clean),
+kept AS (SELECT lang, term FROM terms GROUP BY ALL HAVING count(DISTINCT doc_id) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (
+  SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM (SELECT DISTINCT lang, source FROM clean) LEFT JOIN counts USING (lang, source)
+  GROUP BY ALL),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (total + 5 * v.v) AS p
+  FROM groups g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+whole AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // ((sum(sum(n)) OVER (PARTITION BY lang)) + 5 * any_value(v)) AS q
+  FROM counts JOIN v USING (lang) GROUP BY lang, term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce((SELECT sum(abs(x.p - y.p)) FROM dense x JOIN dense y
+      ON x.lang = y.lang AND x.term = y.term WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source),
+above AS (
+  SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM dense JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+"""
+DIVERGENCE_ROWS = """
+SELECT lang, source, 'pair' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank
+FROM pairs
+UNION ALL SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank
+  FROM above) WHERE rank <= 50"""
+
 SQL: dict[str, str] = {
     "op3_host_rules": f"""WITH {HOST_RULES}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -106,4 +180,6 @@ FROM ruled JOIN rated ON ruled.source IS NOT DISTINCT FROM rated.source""",
     "op8_line_dedup": f"WITH {LINES} SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM freed".replace(
         "DOCS", "documents"
     ),
+    "op12_merkle": f"WITH {MERKLE} {MERKLE_ROWS}",
+    "op13_source_divergence": f"WITH {DIVERGENCE} {DIVERGENCE_ROWS}",
 }
