@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import json
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 from zlib import crc32
 
 import numpy as np
@@ -29,72 +31,76 @@ from tabcycle.llm.common import arrow_fields, stored, work_folder
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 #: Estimated bytes of counts that a task holds before it spills a run.
 BLOCK_BYTES = 96 << 20
-#: What one entry takes besides its term: a key, a list of two numbers, its place in the dictionary.
-ENTRY_BYTES = 250
+#: What one entry takes besides its term: its places in two dictionaries and two numbers.
+ENTRY_BYTES = 300
 #: Entries of a run in one row, and merged terms per batch sent back.
 CHUNK = 20_000
 #: Entries of the matrix of pair corrections that a task holds.
 MATRIX = 1 << 20
 
-RUN = (
-    "shard int, run string, nth int, terms array<binary>, langs array<string>, sources array<string>, "
-    "counts array<bigint>, docs array<bigint>"
-)
+RUN = "shard int, run string, nth int, entries binary"
+ENTRIES = pa.schema([("term", pa.binary()), ("group", pa.int32()), ("n", pa.int64()), ("docs", pa.int64())])
 MERGED = "lang string, term string, sources array<struct<source: string, n: bigint>>"
 
 
 class Block:
-    """Counts of terms in memory: term -> {(lang, source): [occurrences, documents]}."""
+    """Counts of terms in memory: per (lang, source), how often each occurs and in how many documents."""
 
     def __init__(self) -> None:
-        self.postings: dict[bytes, dict[tuple[str, str], list[int]]] = {}
+        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         self.bytes = 0
 
     def add(self, lang: str, source: str, text: str) -> None:
-        found: dict[bytes, int] = defaultdict(int)
-        for term in TERM.findall(text.encode().lower()):
-            found[term] += 1
-        group = (lang, source)
-        postings = self.postings
-        for term, n in found.items():
-            groups = postings.get(term)
-            if groups is None:
-                postings[term] = {group: [n, 1]}
-                self.bytes += len(term) + 2 * ENTRY_BYTES
-            elif (entry := groups.get(group)) is None:
-                groups[group] = [n, 1]
-                self.bytes += ENTRY_BYTES
-            else:
-                entry[0] += n
-                entry[1] += 1
-
-    def runs(self, shards: int) -> Iterator[tuple[int, list[tuple]]]:
-        """Per shard its entries (term, lang, source, occurrences, documents), sorted."""
-        dealt: dict[int, list[bytes]] = defaultdict(list)
-        for term in self.postings:
-            dealt[crc32(term) % shards].append(term)
-        for shard, terms in dealt.items():
-            yield shard, [
-                (term, lang, source, n, docs)
-                for term in sorted(terms)
-                for (lang, source), (n, docs) in sorted(self.postings[term].items())
-            ]
+        found = TERM.findall(text.encode().lower())
+        occurrences, documents = self.groups.setdefault((lang, source), (Counter(), Counter()))
+        before = len(documents)
+        occurrences.update(found)
+        documents.update(set(found))
+        # The terms that are new are taken to be of middling length.
+        self.bytes += (len(documents) - before) * ENTRY_BYTES
+
+    def runs(self, shards: int) -> Iterator[tuple[int, pa.Table]]:
+        """Per shard its entries, sorted by term, language and source."""
+        groups = sorted(group for group, (occurrences, _) in self.groups.items() if occurrences)
+        if not groups:
+            return
+        counted = [self.groups[group] for group in groups]
+        terms = [term for occurrences, _ in counted for term in occurrences]
+        of = np.repeat(np.arange(len(groups), dtype=np.int32), [len(occurrences) for occurrences, _ in counted])
+        shard = np.fromiter(map(crc32, terms), dtype=np.uint32, count=len(terms)) % np.uint32(shards)
+        table = pa.table({
+            "shard": shard,
+            "term": pa.array(terms, pa.binary()),
+            "group": of,
+            "n": np.concatenate([np.fromiter(o.values(), dtype=np.int64, count=len(o)) for o, _ in counted]),
+            "docs": np.concatenate([np.fromiter(map(d.__getitem__, o), dtype=np.int64, count=len(o)) for o, d in counted]),
+        }).sort_by([("shard", "ascending"), ("term", "ascending"), ("group", "ascending")])
+        numbers = table.column("shard").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            part = table.slice(low, high - low).drop_columns("shard")
+            used, at = np.unique(part.column("group").to_numpy(), return_inverse=True)
+            part = part.set_column(1, "group", pa.array(at.astype(np.int32))).cast(ENTRIES)
+            # The groups stand beside the entries, which have their numbers.
+            yield int(numbers[low]), part.replace_schema_metadata({"groups": json.dumps([groups[u] for u in used])})
 
 
 def spilled_runs(docs: DataFrame, shards: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One run per task, block and shard: rows (shard, run, nth, ...) of up to CHUNK entries each, in the order of nth.
+    """One run per task, block and shard: rows (shard, run, nth, entries), up to CHUNK entries each, in the order of nth.
 
     `docs` has columns lang, source and text without nulls. A document is counted whole, however long, so a block can exceed
-    `block_bytes` by one document's terms. Entries are sorted by term, language and source.
+    `block_bytes` by one document's terms. Entries are sorted by term, language and source, and packed as Arrow.
     """
     fields = arrow_fields(RUN)
 
     def spilled(block: Block, name: str) -> Iterator[pa.RecordBatch]:
         for shard, entries in block.runs(shards):
-            for nth, low in enumerate(range(0, len(entries), CHUNK)):
-                lists = [[list(c)] for c in zip(*entries[low : low + CHUNK], strict=True)]
-                columns = [[shard], [name], [nth], *lists]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
+            for nth, low in enumerate(range(0, entries.num_rows, CHUNK)):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, entries.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as packed:
+                    packed.write_table(entries.slice(low, CHUNK).combine_chunks())
+                row = [[shard], [name], [nth], [sink.getvalue().to_pybytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, fields, strict=True)], schema=fields)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, nth = TaskContext.get().partitionId(), Block(), 0
@@ -110,50 +116,52 @@ def spilled_runs(docs: DataFrame, shards: int, block_bytes: int = BLOCK_BYTES) -
     return docs.select("lang", "source", "text").mapInArrow(index, RUN)
 
 
-def _entries(chunks: list[pa.RecordBatch]) -> Iterator[tuple]:
-    """The entries of one run, from its rows."""
-    for row in chunks:
-        lists = (row.column(i).values.slice(row.column(i).offsets[0].as_py(), len(row.column(i)[0])) for i in range(3, 8))
-        yield from zip(*(column.to_pylist() for column in lists), strict=True)
+def _entries(chunks: list[bytes]) -> Iterator[tuple]:
+    """The entries (term, group, n, docs) of one run, from its rows, one row at a time."""
+    for packed in chunks:
+        with pa.ipc.open_stream(packed) as stream:
+            groups = [tuple(group) for group in json.loads(stream.schema.metadata[b"groups"])]
+            for batch in stream:
+                terms = batch.column(0).to_numpy(zero_copy_only=False).tolist()
+                at, n, docs = (batch.column(i).to_numpy().tolist() for i in (1, 2, 3))
+                yield from zip(terms, map(groups.__getitem__, at), n, docs, strict=True)
 
 
 def _frequencies(entries: Iterator[tuple], least_docs: int) -> Iterator[tuple]:
     """(lang, term, sources) of sorted entries, for what is in enough documents."""
-    at, sources, docs = None, {}, 0
-    for term, lang, source, n, m in entries:
-        if (term, lang) != at:
-            if at and docs >= least_docs:
-                yield at[1], at[0].decode(), list(sources.items())
-            at, sources, docs = (term, lang), {}, 0
-        sources[source] = sources.get(source, 0) + n
-        docs += m
-    if at and docs >= least_docs:
-        yield at[1], at[0].decode(), list(sources.items())
+    for term, of_term in itertools.groupby(entries, itemgetter(0)):
+        sources: dict[tuple[str, str], int] = {}
+        in_docs: dict[str, int] = {}
+        for _, group, n, docs in of_term:
+            sources[group] = sources.get(group, 0) + n
+            in_docs[group[0]] = in_docs.get(group[0], 0) + docs
+        for lang, docs in in_docs.items():
+            if docs >= least_docs:
+                yield lang, term.decode(), [(source, n) for (of, source), n in sources.items() if of == lang]
 
 
 def merged_runs(runs: DataFrame, shards: int, least_docs: int) -> DataFrame:
     """Rows (lang, term, sources): the counts of each term in at least `least_docs` documents of its language.
 
     A task gets the runs of some shards and merges one shard after the other with a heap. It holds one shard's runs at
-    a time, as columns, and a chunk of each as entries. How large a shard is hangs on the number of shards, which has to
+    a time, packed, and of each run one row as entries. How large a shard is hangs on the number of shards, which has to
     grow with the input.
     """
     fields = arrow_fields(MERGED)
 
-    def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[pa.RecordBatch]]]:
-        """Per shard its runs, each as its rows. Rows come sorted by shard, run and nth."""
+    def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
+        """Per shard its runs, each as its packed rows. Rows come sorted by shard, run and nth."""
         shard, name, runs = None, None, []
         for batch in batches:
-            shards_of, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i in range(batch.num_rows):
-                if shards_of[i] != shard:
+            for of, run, entries in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), strict=True):
+                if of != shard:
                     if runs:
                         yield runs
-                    shard, name, runs = shards_of[i], None, []
-                if names[i] != name:
-                    name = names[i]
+                    shard, name, runs = of, None, []
+                if run != name:
+                    name = run
                     runs.append([])
-                runs[-1].append(batch.slice(i, 1))
+                runs[-1].append(entries)
         if runs:
             yield runs
 

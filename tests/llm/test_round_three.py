@@ -1,6 +1,7 @@
 """Spelling groups, Merkle fingerprints and source divergence against plain Python."""
 
 import hashlib
+import json
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -208,5 +209,8 @@ def test_blocks_deal_sorted_runs():
     block = Block()
     block.add("en", "b", "Zebra apple apple")
     block.add("en", "a", "apple zebra")
-    runs = dict(block.runs(1))
-    assert runs == {0: [(b"apple", "en", "a", 1, 1), (b"apple", "en", "b", 2, 1), (b"zebra", "en", "a", 1, 1), (b"zebra", "en", "b", 1, 1)]}
+    block.add("en", "c", "12 !")
+    [(shard, entries)] = block.runs(1)
+    assert shard == 0 and json.loads(entries.schema.metadata[b"groups"]) == [["en", "a"], ["en", "b"]]
+    assert [tuple(r.values()) for r in entries.to_pylist()] == [(b"apple", 0, 1, 1), (b"apple", 1, 2, 1), (b"zebra", 0, 1, 1), (b"zebra", 1, 1, 1)]
+    assert sum(t.num_rows for _, t in block.runs(7)) == 4 and list(Block().runs(3)) == []
