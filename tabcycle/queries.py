@@ -17,19 +17,20 @@ from tabcycle.functions.columns import column_types, columns_of_type, shape_fram
 from tabcycle.functions.text import regex_first, translate_values
 from tabcycle.operators.assembly import FeatureAssembly
 from tabcycle.operators.encoders import CastColumns, DropColumns, OneHotColumns, OrdinalMap, RegexNumber
-from tabcycle.operators.inference import ModelInference, infer
+from tabcycle.operators.inference import ModelInference
 from tabcycle.operators.reports import FeatureScores, ModelScores
 from tabcycle.operators.split import class_rows, stratified_split, unlabelled_rows
 from tabcycle.plans.curves import average_precision, roc_auc
 from tabcycle.plans.cutoffs import cutoff_table, select_cutoff
 from tabcycle.plans.drift import category_distribution, drift_report, js_divergence, kl_divergence, ks_two_sample
-from tabcycle.plans.experiment import TrainConfig, run_experiment, tune_cutoff
+from tabcycle.plans.experiment import GRIDS, Experiment, TrainConfig, run_experiment, tune_cutoff
 from tabcycle.plans.feature_scores import chi_square_scores, f_test_scores
 from tabcycle.plans.metrics import confusion_counts, model_scores, pivot_log, union_logs
+from tabcycle.plans.model_scoring import score_by_rows
 from tabcycle.plans.recipe import survey_recipe
 from tabcycle.schemas import METRIC_LOG
 from tabcycle.sources.artifacts import read_threshold, write_threshold
-from tabcycle.sources.models import load_model
+from tabcycle.sources.models import model_rows
 from tabcycle.sources.shared import shared_folder
 from tabcycle.sources.tables import append_log, read_log, read_table
 
@@ -691,14 +692,19 @@ def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage.transform(labelled_lines(spark, sf_dir))
 
 
-# Training: iterative, so there is no SQL to compare with
+# Training
 
 
-TINY_GRIDS = {
+#: The logistic grid is whole: 45 candidates on two folds and one fit on all rows. README says what the others take whole.
+SURVEY_GRIDS = {
     "GBTClassifier": {"stepSize": [0.1], "maxDepth": [2], "maxIter": [3]},
     "RandomForestClassifier": {"numTrees": [5], "maxDepth": [3]},
-    "LogisticRegression": {"regParam": [0.1, 0.5], "maxIter": [5]},
+    "LogisticRegression": GRIDS["LogisticRegression"],
 }
+SURVEY_LABEL = "HeartDisease_Yes"
+#: A stump: boosting that stops after one split, whose best feature SQL can find.
+STUMP = {"GBTClassifier": {"maxIter": [1], "maxDepth": [1]}}
+STUMP_FEATURES = [*[f"{c}_{yes}" for c, (_, yes, _no) in _SURVEY_ANSWERS.items() if c != "HeartDisease"], "Race_Asian", "Race_White"]
 
 
 def train_config(spark: SparkSession, grids: dict) -> TrainConfig:
@@ -706,46 +712,87 @@ def train_config(spark: SparkSession, grids: dict) -> TrainConfig:
     return TrainConfig(grids=grids, partitions=spark.sparkContext.defaultParallelism)
 
 
-def survey_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def survey_sides(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     rows = survey(spark, sf_dir)
     keyed = rows.withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber")).drop("l_orderkey", "l_linenumber")
     features = survey_recipe(assemble=False).fit(keyed).transform(keyed)
+    if names:
+        features = features.select("row_key", SURVEY_LABEL, *names)
     # Split first: the draw is a filter on the scan, and does not sink below the assembler.
-    sides = stratified_split(features, "HeartDisease_Yes", key_columns=["row_key"])
-    assembly = FeatureAssembly(excludeCols=["HeartDisease_Yes", "row_key"]).fit(features)
+    sides = stratified_split(features, SURVEY_LABEL, key_columns=["row_key"])
+    assembly = FeatureAssembly(excludeCols=[SURVEY_LABEL, "row_key"]).fit(features)
     return tuple(assembly.transform(side) for side in sides)
 
 
-@query()
-def experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = survey_sides(spark, sf_dir)
-    run = run_experiment(
-        list(TINY_GRIDS), train, test, "HeartDisease_Yes", "features", LABEL_NAMES,
-        train_config(spark, TINY_GRIDS), capture_date=CAPTURED,
+def survey_experiment(
+    spark: SparkSession, sides: tuple[DataFrame, DataFrame], grids: dict, save_to: str | None = None
+) -> Experiment:
+    return run_experiment(
+        list(grids), *sides, SURVEY_LABEL, "features", LABEL_NAMES, train_config(spark, grids), save_to,
+        capture_date=CAPTURED, key_columns=["row_key"],
     )
-    return run.train_results
 
 
 @query()
-def saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = survey_sides(spark, sf_dir)
-    location = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
-    grids = {"LogisticRegression": {"regParam": [0.1], "maxIter": [5]}}
-    run_experiment(
-        ["LogisticRegression"], train, test, "HeartDisease_Yes", "features", LABEL_NAMES,
-        train_config(spark, grids), save_to=location, capture_date=CAPTURED,
-    )
-    scored = infer(load_model("LogisticRegression", location), test)
-    return cutoff_table(scored, "HeartDisease_Yes", "prob_raw")
+def experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survey_experiment(spark, survey_sides(spark, sf_dir), SURVEY_GRIDS).train_results
 
 
 @query()
 def tuned_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = survey_sides(spark, sf_dir)
+    """The cut-off of the best of 45 logistic candidates, which the ledger tells."""
+    sides = survey_sides(spark, sf_dir)
     location = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
-    grids = {"RandomForestClassifier": {"numTrees": [5], "maxDepth": [3]}}
-    run_experiment(
-        list(grids), train, test, "HeartDisease_Yes", "features", LABEL_NAMES,
-        train_config(spark, grids), save_to=location, capture_date=CAPTURED,
+    survey_experiment(spark, sides, {"LogisticRegression": GRIDS["LogisticRegression"]}, location)
+    return tune_cutoff("LogisticRegression", location, sides[1], SURVEY_LABEL, "Sensitivity", 0.5)
+
+
+def saved_stump(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of the saved stump, and the test side."""
+    sides = survey_sides(spark, sf_dir, STUMP_FEATURES)
+    location = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
+    survey_experiment(spark, sides, STUMP, location)
+    return model_rows(spark, location, "GBTClassifier"), sides[1]
+
+
+_STUMP = (
+    f"WITH survey AS ({_SURVEY} FROM lineitem), told AS (SELECT concat(l_orderkey, '-', l_linenumber) AS row_key, "
+    + ", ".join(f"CASE WHEN {c} = '{yes}' THEN 1 ELSE 0 END AS {c}_{yes}" for c, (_, yes, _no) in _SURVEY_ANSWERS.items())
+    + ", CASE WHEN Race = 'Asian' THEN 1 ELSE 0 END AS Race_Asian, CASE WHEN Race = 'White' THEN 1 ELSE 0 END AS Race_White FROM survey),"
+    + """
+  sided AS (SELECT *, CAST(concat('0x', substr(md5(concat('42', chr(1), row_key)), 1, 8)) AS BIGINT) / 4294967296.0 < 0.7
+    AS train FROM told),
+  tried AS ("""
+    + " UNION ALL ".join(
+        f"SELECT {i} AS nth, '{f}' AS feature, {f} AS x, 2.0::DOUBLE * HeartDisease_Yes - 1 AS y FROM sided WHERE train"
+        for i, f in enumerate(STUMP_FEATURES)
     )
-    return tune_cutoff("RandomForestClassifier", location, test, "HeartDisease_Yes", "Sensitivity", 0.5)
+    + """),
+  halves AS (SELECT nth, feature, count(*) AS n, avg(y) AS m, count(*) FILTER (x = 0) AS n_left, count(*) FILTER (x = 1) AS n_right,
+      avg(y) FILTER (x = 0) AS m_left, avg(y) FILTER (x = 1) AS m_right FROM tried GROUP BY nth, feature),
+  stump AS (SELECT * FROM halves ORDER BY n_left * m_left * m_left + n_right * m_right * m_right DESC, nth LIMIT 1)"""
+)
+_STUMP_SCORE = " ".join(f"WHEN '{f}' THEN {f}" for f in STUMP_FEATURES)
+
+
+@query(
+    f"""{_STUMP} SELECT 0 AS node, feature, 0.5::DOUBLE AS threshold, round(m, 6) AS prediction, n FROM stump
+UNION ALL SELECT 1, NULL, NULL, round(m_left, 6), n_left FROM stump
+UNION ALL SELECT 2, NULL, NULL, round(m_right, 6), n_right FROM stump"""
+)
+def saved_model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = saved_stump(spark, sf_dir)
+    names = F.array(*map(F.lit, STUMP_FEATURES))
+    feature = F.when(F.col("feature") >= 0, F.get(names, F.col("feature")))
+    return rounded(rows.select("node", feature.alias("feature"), "threshold", "prediction", "n"), "prediction")
+
+
+@query(
+    f"""{_STUMP}, scored AS (SELECT HeartDisease_Yes AS y, 1 / (1 + exp(-2 * CASE CASE feature {_STUMP_SCORE} END
+      WHEN 0 THEN m_left ELSE m_right END)) AS p FROM sided, stump WHERE NOT train),
+{_cutoffs_sql('p')} {_CUTOFF_ROWS}"""
+)
+def saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, test = saved_stump(spark, sf_dir)
+    cuts = cutoff_table(score_by_rows(test, rows, "GBTClassifier"), SURVEY_LABEL, "prob_raw")
+    return rounded(cuts, "Sensitivity", "Specificity", "precision", "Accuracy")
