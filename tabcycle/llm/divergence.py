@@ -11,104 +11,155 @@
 from __future__ import annotations
 
 import heapq
-import itertools
 import json
-import re
-from collections import Counter
 from collections.abc import Iterator
-from operator import itemgetter
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabcycle.llm.common import arrow_fields, stored, work_folder
+from tabcycle.llm.common import AT_ONCE, arrow_fields, parts, stored, work_folder
 
-#: In UTF-8: letters A to Z in either case and everything that is not ASCII. Lower-casing bytes touches A to Z only.
-TERM = re.compile(rb"[a-z\x80-\xff]+")
-#: Estimated bytes of counts that a task holds before it spills a run.
-BLOCK_BYTES = 96 << 20
-#: What one entry takes besides its term: its places in two dictionaries and two numbers.
-ENTRY_BYTES = 300
-#: Entries of a run in one row, and merged terms per batch sent back.
+#: Of UTF-8: letters A to Z in either case, and everything that is not ASCII.
+IN_TERM = np.array([chr(byte).isalpha() if byte < 128 else True for byte in range(256)])
+#: Lower-cases A to Z.
+LOWER = np.array([byte + 32 if 65 <= byte <= 90 else byte for byte in range(256)], np.uint8)
+#: Bytes of postings that a task holds before it spills a run.
+BLOCK_BYTES = 64 << 20
+#: Entries of a run in one row.
 CHUNK = 20_000
+#: Entries that a merge takes in before it sends on what is complete.
+MERGED_AT_ONCE = 200_000
 #: Entries of the matrix of pair corrections that a task holds.
 MATRIX = 1 << 20
 
-RUN = "shard int, run string, nth int, entries binary"
-ENTRIES = pa.schema([("term", pa.binary()), ("group", pa.int32()), ("n", pa.int64()), ("docs", pa.int64())])
+RUN = "shard int, run string, nth int, first binary, entries binary"
+ENTRIES = pa.schema([("term", pa.large_binary()), ("group", pa.int32()), ("n", pa.int64()), ("docs", pa.int64())])
 MERGED = "lang string, term string, sources array<struct<source: string, n: bigint>>"
 
 
+class Entries(NamedTuple):
+    """Entries of distinct terms and groups: `terms[code]` is an entry's term. Entries are in the order of code and group."""
+
+    terms: pa.LargeBinaryArray
+    code: np.ndarray
+    group: np.ndarray
+    n: np.ndarray
+    docs: np.ndarray
+
+    def table(self, kept: np.ndarray | slice = slice(None)) -> pa.Table:
+        columns = [self.terms.take(pa.array(self.code[kept])), *(pa.array(c[kept]) for c in (self.group, self.n, self.docs))]
+        return pa.table(columns, schema=ENTRIES)
+
+
+def added_up(tables: list[pa.Table]) -> Entries:
+    """The entries of several tables, those of the same term and group added up."""
+    table = pa.concat_tables(tables)
+    coded = table.column("term").combine_chunks().dictionary_encode()
+    group = table.column("group").to_numpy().astype(np.int64)
+    groups = int(group.max(initial=0)) + 1
+    key, at = np.unique(coded.indices.to_numpy() * groups + group, return_inverse=True)
+    # Sums of whole numbers, exact below 2^53.
+    n, docs = (np.bincount(at, table.column(c).to_numpy(), len(key)).astype(np.int64) for c in ("n", "docs"))
+    return Entries(coded.dictionary, key // groups, (key % groups).astype(np.int32), n, docs)
+
+
 class Block:
-    """Counts of terms in memory: per (lang, source), how often each occurs and in how many documents."""
+    """Postings in memory: per term and group (lang, source) its occurrences and the documents it is in."""
 
     def __init__(self) -> None:
-        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        self.groups: dict[tuple[str, str], int] = {}
+        self.tables: list[pa.Table] = []
         self.bytes = 0
 
-    def add(self, lang: str, source: str, text: str) -> None:
-        found = TERM.findall(text.encode().lower())
-        occurrences, documents = self.groups.setdefault((lang, source), (Counter(), Counter()))
-        before = len(documents)
-        occurrences.update(found)
-        documents.update(set(found))
-        # The terms that are new are taken to be of middling length.
-        self.bytes += (len(documents) - before) * ENTRY_BYTES
+    def add(self, langs: list[str], sources: list[str], texts: list[str]) -> None:
+        raw = [text.encode() for text in texts]
+        buffer = LOWER[np.frombuffer(b"\0".join(raw) + b"\0", np.uint8)]
+        within = IN_TERM[buffer]
+        edge = np.flatnonzero(np.diff(within.view(np.int8), prepend=np.int8(0)))
+        starts, ends = edge[::2], edge[1::2]
+        own = np.array([self.groups.setdefault(group, len(self.groups)) for group in zip(langs, sources, strict=True)], np.int64)
+        if not len(starts):
+            return
+        of = np.searchsorted(np.cumsum([len(one) + 1 for one in raw]), starts, side="right")
+        offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+        found = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(buffer[within])]
+        ).dictionary_encode()
+        size = len(found.dictionary)
+        # Per document and term, then per group and term.
+        in_doc, n = np.unique(of * size + found.indices.to_numpy(), return_counts=True)
+        entries, at = np.unique(own[in_doc // size] * size + in_doc % size, return_inverse=True)
+        columns = [
+            found.dictionary.take(pa.array(entries % size)),
+            pa.array(entries // size, pa.int32()),
+            # Sums of whole numbers, exact below 2^53.
+            pa.array(np.bincount(at, n).astype(np.int64)),
+            pa.array(np.bincount(at).astype(np.int64)),
+        ]
+        self.tables.append(pa.table(columns, schema=ENTRIES))
+        self.bytes += self.tables[-1].nbytes
+
+    def full(self, most: int) -> bool:
+        """Whether the postings, added up, take more than half of `most` bytes; they are added up when they take all."""
+        if self.bytes > most:
+            self.tables = [added_up(self.tables).table()]
+            self.bytes = self.tables[0].nbytes
+        return self.bytes > most // 2
 
     def runs(self, shards: int) -> Iterator[tuple[int, pa.Table]]:
-        """Per shard its entries, sorted by term, language and source."""
-        groups = sorted(group for group, (occurrences, _) in self.groups.items() if occurrences)
-        if not groups:
+        """Per shard its entries, sorted by term."""
+        if not self.tables:
             return
-        counted = [self.groups[group] for group in groups]
-        terms = [term for occurrences, _ in counted for term in occurrences]
-        of = np.repeat(np.arange(len(groups), dtype=np.int32), [len(occurrences) for occurrences, _ in counted])
-        shard = np.fromiter(map(crc32, terms), dtype=np.uint32, count=len(terms)) % np.uint32(shards)
-        table = pa.table({
-            "shard": shard,
-            "term": pa.array(terms, pa.binary()),
-            "group": of,
-            "n": np.concatenate([np.fromiter(o.values(), dtype=np.int64, count=len(o)) for o, _ in counted]),
-            "docs": np.concatenate([np.fromiter(map(d.__getitem__, o), dtype=np.int64, count=len(o)) for o, d in counted]),
-        }).sort_by([("shard", "ascending"), ("term", "ascending"), ("group", "ascending")])
-        numbers = table.column("shard").to_numpy()
+        entries = added_up(self.tables)
+        terms = entries.terms.to_pylist()
+        shard_of = np.fromiter(map(crc32, terms), np.uint32, len(terms)) % np.uint32(shards)
+        rank = np.empty(len(terms), np.int64)
+        rank[np.array(sorted(range(len(terms)), key=terms.__getitem__))] = np.arange(len(terms))
+        order = np.lexsort((rank[entries.code], shard_of[entries.code]))
+        table, numbers = entries.table(order), shard_of[entries.code][order]
         cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        names = np.array(list(self.groups) + [None], dtype=object)[:-1]
         for low, high in zip(cuts, cuts[1:], strict=False):
-            part = table.slice(low, high - low).drop_columns("shard")
+            part = table.slice(low, high - low)
             used, at = np.unique(part.column("group").to_numpy(), return_inverse=True)
-            part = part.set_column(1, "group", pa.array(at.astype(np.int32))).cast(ENTRIES)
+            part = part.set_column(1, "group", pa.array(at.astype(np.int32)))
             # The groups stand beside the entries, which have their numbers.
-            yield int(numbers[low]), part.replace_schema_metadata({"groups": json.dumps([groups[u] for u in used])})
+            yield int(numbers[low]), part.replace_schema_metadata({"groups": json.dumps([list(names[u]) for u in used])})
 
 
 def spilled_runs(docs: DataFrame, shards: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One run per task, block and shard: rows (shard, run, nth, entries), up to CHUNK entries each, in the order of nth.
+    """One run per task, block and shard: rows (shard, run, nth, first, entries), up to CHUNK entries each, in the order of nth.
 
-    `docs` has columns lang, source and text without nulls. A document is counted whole, however long, so a block can exceed
-    `block_bytes` by one document's terms. Entries are sorted by term, language and source, and packed as Arrow.
+    `docs` has columns lang, source and text without nulls. Documents are counted some at a time and each whole, so a block can
+    exceed `block_bytes` by what these add. Entries are sorted by term and packed as Arrow; `first` is the first term.
     """
     fields = arrow_fields(RUN)
 
     def spilled(block: Block, name: str) -> Iterator[pa.RecordBatch]:
         for shard, entries in block.runs(shards):
             for nth, low in enumerate(range(0, entries.num_rows, CHUNK)):
+                some = entries.slice(low, CHUNK).combine_chunks()
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, entries.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as packed:
-                    packed.write_table(entries.slice(low, CHUNK).combine_chunks())
-                row = [[shard], [name], [nth], [sink.getvalue().to_pybytes()]]
+                with pa.ipc.new_stream(sink, some.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as packed:
+                    packed.write_table(some)
+                row = [[shard], [name], [nth], [some.column(0)[0].as_py()], [sink.getvalue().to_pybytes()]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, fields, strict=True)], schema=fields)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, nth = TaskContext.get().partitionId(), Block(), 0
         for batch in batches:
-            langs, sources, texts = (batch.column(batch.schema.get_field_index(c)) for c in ("lang", "source", "text"))
-            for lang, source, text in zip(langs, sources, texts, strict=True):
-                block.add(lang.as_py(), source.as_py(), text.as_py())
-                if block.bytes >= block_bytes:
+            langs, sources, texts = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "source", "text"))
+            at = 0
+            for some in parts(texts, min(AT_ONCE, block_bytes)):
+                block.add(langs[at : at + len(some)], sources[at : at + len(some)], some)
+                at += len(some)
+                if block.full(block_bytes):
                     yield from spilled(block, f"{part}-{nth}")
                     block, nth = Block(), nth + 1
         yield from spilled(block, f"{part}-{nth}")
@@ -116,44 +167,80 @@ def spilled_runs(docs: DataFrame, shards: int, block_bytes: int = BLOCK_BYTES) -
     return docs.select("lang", "source", "text").mapInArrow(index, RUN)
 
 
-def _entries(chunks: list[bytes]) -> Iterator[tuple]:
-    """The entries (term, group, n, docs) of one run, from its rows, one row at a time."""
-    for packed in chunks:
+class Merge:
+    """Runs of one shard merged by a heap of their rows: the row with the least first term is taken in next.
+
+    What is taken in and lies below the first terms of all rows still in the heap is complete. It holds MERGED_AT_ONCE
+    entries and, of rows that reach beyond, what does.
+    """
+
+    def __init__(self, least_docs: int):
+        self.least_docs = least_docs
+        self.groups: dict[tuple[str, str], int] = {}
+
+    def taken_in(self, packed: bytes) -> pa.Table:
         with pa.ipc.open_stream(packed) as stream:
-            groups = [tuple(group) for group in json.loads(stream.schema.metadata[b"groups"])]
-            for batch in stream:
-                terms = batch.column(0).to_numpy(zero_copy_only=False).tolist()
-                at, n, docs = (batch.column(i).to_numpy().tolist() for i in (1, 2, 3))
-                yield from zip(terms, map(groups.__getitem__, at), n, docs, strict=True)
-
-
-def _frequencies(entries: Iterator[tuple], least_docs: int) -> Iterator[tuple]:
-    """(lang, term, sources) of sorted entries, for what is in enough documents."""
-    for term, of_term in itertools.groupby(entries, itemgetter(0)):
-        sources: dict[tuple[str, str], int] = {}
-        in_docs: dict[str, int] = {}
-        for _, group, n, docs in of_term:
-            sources[group] = sources.get(group, 0) + n
-            in_docs[group[0]] = in_docs.get(group[0], 0) + docs
-        for lang, docs in in_docs.items():
-            if docs >= least_docs:
-                yield lang, term.decode(), [(source, n) for (of, source), n in sources.items() if of == lang]
+            names = [self.groups.setdefault(tuple(g), len(self.groups)) for g in json.loads(stream.schema.metadata[b"groups"])]
+            table = stream.read_all().replace_schema_metadata(None)
+        return table.set_column(1, "group", pa.array(np.array(names, np.int32)[table.column("group").to_numpy()]))
+
+    def run(self, runs: list[list[tuple[bytes, bytes]]]) -> Iterator[Entries]:
+        """Complete entries, from rows (first term, packed entries) of each run in order."""
+        heap = [(rows[0][0], nth, 0) for nth, rows in enumerate(runs)]
+        heapq.heapify(heap)
+        held, size = [], 0
+        while heap:
+            _, nth, at = heapq.heappop(heap)
+            held.append(self.taken_in(runs[nth][at][1]))
+            size += held[-1].num_rows
+            if at + 1 < len(runs[nth]):
+                heapq.heappush(heap, (runs[nth][at + 1][0], nth, at + 1))
+            if size >= MERGED_AT_ONCE or not heap:
+                found = added_up(held)
+                if heap:
+                    done = pc.less(found.terms, pa.scalar(heap[0][0], pa.large_binary())).to_numpy(zero_copy_only=False)[found.code]
+                    held = [found.table(~done)]
+                    size = held[0].num_rows
+                    found = Entries(found.terms, *(column[done] for column in found[1:]))
+                if len(found.code):
+                    yield found
+
+    def frequencies(self, found: Entries) -> pa.RecordBatch:
+        """(lang, term, sources) for terms in enough documents of their language, each of which stands whole in the entries."""
+        names = list(self.groups)
+        langs = sorted({lang for lang, _ in names})
+        number = {lang: nth for nth, lang in enumerate(langs)}
+        key = found.code * len(langs) + np.array([number[lang] for lang, _ in names])[found.group]
+        order = np.argsort(key, kind="stable")
+        key, group, n = key[order], found.group[order], found.n[order]
+        opens = np.flatnonzero(np.diff(key, prepend=-1))
+        enough = np.add.reduceat(found.docs[order], opens) >= self.least_docs
+        sizes = np.diff(opens, append=len(key))
+        kept = np.repeat(enough, sizes)
+        key, sizes = key[opens[enough]], sizes[enough]
+        listed = pa.StructArray.from_arrays(
+            [pa.array([source for _, source in names], pa.string()).take(pa.array(group[kept])), pa.array(n[kept])],
+            fields=[pa.field("source", pa.string()), pa.field("n", pa.int64())],
+        )
+        return pa.RecordBatch.from_arrays([
+            pa.array(langs, pa.string()).take(pa.array(key % len(langs))),
+            found.terms.take(pa.array(key // len(langs))).cast(pa.binary()).cast(pa.string()),
+            pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), listed),
+        ], names=["lang", "term", "sources"])
 
 
 def merged_runs(runs: DataFrame, shards: int, least_docs: int) -> DataFrame:
     """Rows (lang, term, sources): the counts of each term in at least `least_docs` documents of its language.
 
-    A task gets the runs of some shards and merges one shard after the other with a heap. It holds one shard's runs at
-    a time, packed, and of each run one row as entries. How large a shard is hangs on the number of shards, which has to
-    grow with the input.
+    A task gets the runs of some shards and merges one shard after the other. It holds one shard's runs at
+    a time, packed. How large a shard is hangs on the number of shards, which has to grow with the input.
     """
-    fields = arrow_fields(MERGED)
 
-    def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
-        """Per shard its runs, each as its packed rows. Rows come sorted by shard, run and nth."""
+    def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[tuple[bytes, bytes]]]]:
+        """Per shard its runs, each as its rows. Rows come sorted by shard, run and nth."""
         shard, name, runs = None, None, []
         for batch in batches:
-            for of, run, entries in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3)), strict=True):
+            for of, run, first, entries in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4)), strict=True):
                 if of != shard:
                     if runs:
                         yield runs
@@ -161,19 +248,17 @@ def merged_runs(runs: DataFrame, shards: int, least_docs: int) -> DataFrame:
                 if run != name:
                     name = run
                     runs.append([])
-                runs[-1].append(entries)
+                runs[-1].append((first, entries))
         if runs:
             yield runs
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for runs in by_shard(batches):
-            found = _frequencies(heapq.merge(*map(_entries, runs)), least_docs)
-            while held := list(itertools.islice(found, CHUNK)):
-                langs, terms, sources = zip(*held, strict=True)
-                listed = [[{"source": s, "n": n} for s, n in each] for each in sources]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip((langs, terms, listed), fields, strict=True)], schema=fields
-                )
+            merging = Merge(least_docs)
+            for entries in merging.run(runs):
+                found = merging.frequencies(entries)
+                if found.num_rows:
+                    yield found
 
     dealt = runs.repartition(shards, "shard").sortWithinPartitions("shard", "run", "nth")
     return dealt.mapInArrow(merge, MERGED)

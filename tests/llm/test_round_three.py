@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tabcycle.llm.divergence import Block, source_divergence
+from tabcycle.llm.divergence import ENTRIES, Block, Merge, source_divergence
 from tabcycle.llm.merkle import edited_neighbours, edited_paragraphs, fingerprints
 from tabcycle.llm.spelling import signatures, spelling_groups
 
@@ -207,10 +207,32 @@ def test_source_divergence(spark, odd, none, least_docs, most_terms, block_bytes
 
 def test_blocks_deal_sorted_runs():
     block = Block()
-    block.add("en", "b", "Zebra apple apple")
-    block.add("en", "a", "apple zebra")
-    block.add("en", "c", "12 !")
+    block.add(["en", "en", "en"], ["b", "a", "c"], ["Zebra apple apple", "apple zebra", "12 !"])
+    block.add(["en"], ["b"], ["apple"])
     [(shard, entries)] = block.runs(1)
-    assert shard == 0 and json.loads(entries.schema.metadata[b"groups"]) == [["en", "a"], ["en", "b"]]
-    assert [tuple(r.values()) for r in entries.to_pylist()] == [(b"apple", 0, 1, 1), (b"apple", 1, 2, 1), (b"zebra", 0, 1, 1), (b"zebra", 1, 1, 1)]
+    groups = json.loads(entries.schema.metadata[b"groups"])
+    rows = [(r["term"], *groups[r["group"]], r["n"], r["docs"]) for r in entries.to_pylist()]
+    assert shard == 0 and [r[0] for r in rows] == sorted(r[0] for r in rows)
+    assert sorted(rows) == [
+        (b"apple", "en", "a", 1, 1), (b"apple", "en", "b", 3, 2), (b"zebra", "en", "a", 1, 1), (b"zebra", "en", "b", 1, 1)
+    ]
     assert sum(t.num_rows for _, t in block.runs(7)) == 4 and list(Block().runs(3)) == []
+
+
+def test_merge_sends_on_what_is_complete(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr("tabcycle.llm.divergence.MERGED_AT_ONCE", 3)
+
+    def packed(rows):
+        table = pa.table([list(c) for c in zip(*[(t, 0, n, 1) for t, n in rows])], schema=ENTRIES).replace_schema_metadata({"groups": '[["en", "a"]]'})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as stream:
+            stream.write_table(table)
+        return rows[0][0], sink.getvalue().to_pybytes()
+
+    runs = [[packed([(b"a", 1), (b"c", 1)]), packed([(b"d", 1), (b"z", 1)])], [packed([(b"b", 2), (b"c", 2)]), packed([(b"c2", 2), (b"z", 2)])], [packed([(b"a", 4)])]]
+    tables = list(Merge(1).run(runs))
+    assert len(tables) > 1
+    rows = [(r["term"], r["n"], r["docs"]) for t in tables for r in t.table().to_pylist()]
+    assert sorted(rows) == [(b"a", 5, 2), (b"b", 2, 1), (b"c", 3, 2), (b"c2", 2, 1), (b"d", 1, 1), (b"z", 3, 2)]
