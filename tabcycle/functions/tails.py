@@ -46,11 +46,7 @@ def f_tail(statistic: Column, df_within: Column) -> Column:
     start = F.sqrt(square)
     # Beyond this the integrand is below exp(-40) of its start.
     width = 40.0 / (start + F.sqrt(square + 40.0))
-    nodes, weights = np.polynomial.legendre.leggauss(64)
-    points = F.array(*[
-        F.struct(F.lit(float((x + 1) / 2)).alias("x"), F.lit(float(w / 2)).alias("w"))
-        for x, w in zip(nodes, weights, strict=True)
-    ])
+    points = _gauss_points()
 
     def add(total: Column, point: Column) -> Column:
         y = width * point["x"]
@@ -77,14 +73,26 @@ def _gamma_step(a: Column) -> Column:
     return steps * F.sqrt(far) * series
 
 
+# Up to this many degrees of freedom the chi-square tail is a finite sum, above it an integral.
+MOST_SUMMED = 128
+
+
 def chi_square_tail(statistic: Column, dof: Column) -> Column:
-    """P(X > statistic) for a chi-square X: a sum of dof / 2 positive terms, for odd dof after erfc. 1 without freedom."""
-    x = statistic / 2.0
+    """P(X > statistic) for a chi-square X of any freedom, in a fixed number of steps. 1 without freedom.
+
+    Up to MOST_SUMMED degrees a sum of dof / 2 positive terms, for odd dof after erfc; above, `_gamma_tail`.
+    """
+    x, known = statistic / 2.0, dof.cast("double")
+    tail = F.when(dof <= MOST_SUMMED, _chi_square_sum(x, dof)).otherwise(_gamma_tail(known / 2.0, x))
+    return F.when((dof < 1) | (statistic <= 0.0), 1.0).when(statistic == float("inf"), 0.0).otherwise(F.least(tail, F.lit(1.0)))
+
+
+def _chi_square_sum(x: Column, dof: Column) -> Column:
     odd = dof % 2 == 1
     shift = F.when(odd, 0.5).otherwise(0.0)
     # log of x^(j + shift) e^-x / Gamma(j + shift + 1) for j = 0, then one factor x / (j + shift) a step.
     first = -x + F.when(odd, F.log(x) / 2.0 - math.log(math.sqrt(math.pi) / 2.0)).otherwise(0.0)
-    terms = F.floor(dof / 2).cast("int")
+    terms = F.floor(F.least(dof, F.lit(MOST_SUMMED)) / 2).cast("int")
     total = F.aggregate(
         F.when(terms > 0, F.sequence(F.lit(0), terms - 1)).otherwise(F.array().cast("array<int>")),
         F.struct(first.alias("log"), F.lit(0.0).alias("total")),
@@ -94,8 +102,48 @@ def chi_square_tail(statistic: Column, dof: Column) -> Column:
         ),
         lambda acc: acc["total"],
     )
-    tail = total + F.when(odd, erfc(F.sqrt(x))).otherwise(0.0)
-    return F.when((dof < 1) | (statistic <= 0.0), 1.0).otherwise(F.least(tail, F.lit(1.0)))
+    return total + F.when(odd, erfc(F.sqrt(x))).otherwise(0.0)
+
+
+def _gamma_tail(a: Column, x: Column) -> Column:
+    """Q(a, x), the upper regularised incomplete gamma function, for a from 64 on.
+
+    With t = a e^s the integrand of Gamma(a) is a^a e^-a exp(-a (e^s - 1 - s)). From s0 = log(x / a) on, y = s - s0 is
+    integrated: there the exponent has grown by a (d y + (1 + d)(e^y - 1 - y)), d = x / a - 1, without a
+    difference of near numbers, and 64 Gauss-Legendre points reach to where it has grown by 40. Below the mean the
+    lower tail is integrated the same way. The relative error stays below 1e-9 for tails down to 1e-300.
+    """
+    d = x / a - 1.0
+    upper = d >= 0.0
+    start = F.exp(-a * (d - F.log1p(d)))
+    # y^2 / 2 is below e^y - 1 - y, and y^2 / 3 below e^-y - 1 + y up to 1.
+    bend = F.when(upper, 80.0).otherwise(160.0 / 3.0)
+    width = 80.0 / a / (F.abs(d) + F.sqrt(d * d + bend * (1.0 + d) / a))
+    points = _gauss_points()
+
+    def add(total: Column, point: Column) -> Column:
+        y = width * point["x"]
+        signed = F.when(upper, y).otherwise(-y)
+        # e^s - 1 - s: by its series where the difference would lose digits.
+        series = signed * signed / 2.0 * (1.0 + signed / 3.0 * (1.0 + signed / 4.0 * (1.0 + signed / 5.0 * (1.0 + signed / 6.0 * (1.0 + signed / 7.0)))))
+        curved = F.when(y < 0.01, series).otherwise(F.expm1(signed) - signed)
+        return total + point["w"] * F.exp(-a * (F.abs(d) * y + (1.0 + d) * curved))
+
+    integral = width * F.aggregate(points, F.lit(0.0), add)
+    # Gamma(a) over its first approximation, by Stirling's series.
+    step = 1.0 / (a * a)
+    correction = (1.0 / 12.0 - step * (1.0 / 360.0 - step * (1.0 / 1260.0 - step / 1680.0))) / a
+    part = F.sqrt(a / (2.0 * math.pi)) * F.exp(-correction) * start * integral
+    return F.when(upper, part).otherwise(F.when(d <= -1.0, 1.0).otherwise(1.0 - part))
+
+
+def _gauss_points() -> Column:
+    """64 Gauss-Legendre points x of [0, 1] with their weights w."""
+    nodes, weights = np.polynomial.legendre.leggauss(64)
+    return F.array(*[
+        F.struct(F.lit(float((x + 1) / 2)).alias("x"), F.lit(float(w / 2)).alias("w"))
+        for x, w in zip(nodes, weights, strict=True)
+    ])
 
 
 def kolmogorov_tail(distance: Column, n_left: Column, n_right: Column) -> Column:

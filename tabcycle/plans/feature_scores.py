@@ -22,7 +22,7 @@ def chi_square_scores(df: DataFrame, features: Sequence[str], label: str) -> Dat
     what is expected of it: the value's rows times the share of the labels it was never seen with.
     """
     if not features:
-        return df.sparkSession.createDataFrame([], "feature string, p_value double, dof int, statistic double")
+        return df.sparkSession.createDataFrame([], "feature string, p_value double, dof bigint, statistic double")
     narrow = df.select(
         named(label).cast("double").alias("__label"), *[named(f).cast("double").alias(f) for f in dict.fromkeys(features)]
     )
@@ -41,7 +41,7 @@ def chi_square_scores(df: DataFrame, features: Sequence[str], label: str) -> Dat
     )
     tests = per_value.groupBy("feature").agg(
         F.sum("part").alias("statistic"),
-        ((F.count("*") - 1) * (F.first("labels") - 1)).cast("int").alias("dof"),
+        ((F.count("*") - 1) * (F.first("labels") - 1)).alias("dof"),
     )
     p_value = chi_square_tail(F.col("statistic"), F.col("dof"))
     return tests.select("feature", p_value.alias("p_value"), "dof", "statistic")

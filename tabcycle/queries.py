@@ -20,15 +20,16 @@ from tabcycle.operators.encoders import CastColumns, DropColumns, OneHotColumns,
 from tabcycle.operators.inference import ModelInference
 from tabcycle.operators.reports import FeatureScores, ModelScores
 from tabcycle.operators.split import class_rows, stratified_split, unlabelled_rows
+from tabcycle.operators.wide_encoder import WideOneHot
 from tabcycle.plans.curves import average_precision, roc_auc
 from tabcycle.plans.cutoffs import cutoff_table, select_cutoff
 from tabcycle.plans.drift import category_distribution, drift_report, js_divergence, kl_divergence, ks_two_sample
 from tabcycle.plans.experiment import GRIDS, Experiment, TrainConfig, run_experiment, tune_cutoff
 from tabcycle.plans.feature_scores import chi_square_scores, f_test_scores
-from tabcycle.plans.metrics import confusion_counts, model_scores, pivot_log, union_logs
+from tabcycle.plans.metrics import confusion_counts, many_model_scores, model_scores, pivot_log, union_logs
 from tabcycle.plans.model_scoring import score_by_rows
 from tabcycle.plans.recipe import survey_recipe
-from tabcycle.schemas import METRIC_LOG
+from tabcycle.schemas import FEATURE_LOG, METRIC_LOG
 from tabcycle.sources.artifacts import read_threshold, write_threshold
 from tabcycle.sources.models import model_rows
 from tabcycle.sources.shared import shared_folder
@@ -202,6 +203,22 @@ def one_hot_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoder.fit(orders).transform(orders)
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, slot AS l_partkey_slot, (SELECT count(DISTINCT l_partkey) - 1 FROM lineitem) AS size,
+  CASE WHEN slot IS NULL THEN [] ELSE [slot] END AS indices
+FROM lineitem LEFT JOIN (SELECT l_partkey, row_number() OVER (ORDER BY CAST(l_partkey AS VARCHAR)) - 1 AS slot
+  FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey <> 7)) USING (l_partkey)"""
+)
+def wide_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+    encoder = WideOneHot(inputCols=["l_partkey"], excludeCategories={"l_partkey": ["7"]}, dropOriginal=True)
+    vector = F.from_json(F.to_json(F.struct("l_partkey_vector")), "l_partkey_vector struct<size: bigint, indices: array<bigint>>")
+    coded = encoder.fit(lines).transform(lines)
+    return coded.select("l_orderkey", "l_linenumber", "l_partkey_slot", vector["l_partkey_vector"].alias("v")).select(
+        "l_orderkey", "l_linenumber", "l_partkey_slot", "v.size", "v.indices"
+    )
+
+
 @query(
     """SELECT o_orderkey, o_orderstatus, CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 5 WHEN '2-HIGH' THEN 4.5
     WHEN '3-MEDIUM' THEN 3 WHEN '5-LOW' THEN 1 ELSE 0 END AS FLOAT) AS o_orderpriority_transformed
@@ -365,6 +382,19 @@ def split_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_logs(parts).select("part", "n")
 
 
+@query(
+    """SELECT o_orderkey, o_orderstatus, is_f, CASE WHEN nth <= floor(size * 0.7::DOUBLE + 0.5) THEN 'train' ELSE 'test' END AS side
+FROM (SELECT *, row_number() OVER (PARTITION BY is_f ORDER BY draw) AS nth, count(*) OVER (PARTITION BY is_f) AS size
+  FROM (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_f,
+          md5(concat('42', chr(1), CAST(o_orderkey AS VARCHAR))) AS draw FROM orders))"""
+)
+def split_orders_exactly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
+    orders = orders.withColumn("is_f", (F.col("o_orderstatus") == "F").cast("int"))
+    train, test = stratified_split(orders, "is_f", key_columns=["o_orderkey"], mode="exact")
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
 # Scoring and metrics
 
 
@@ -460,8 +490,9 @@ SELECT "Model_version", "Label_category", "Metric_name", capture_date,
 FROM log GROUP BY ALL"""
 )
 def metric_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = union_logs(quantity_scores(spark, sf_dir, score) for score in ("by_quantity", "by_price"))
-    pivot = pivot_log(rounded(logs, "Metric_value"), ["by_quantity", "by_price"])
+    models = {score: (f"called_{score}", score) for score in ("by_quantity", "by_price")}
+    log = many_model_scores(scored_lines(spark, sf_dir), models, "y", LABEL_NAMES, 1, CAPTURED)
+    pivot = pivot_log(rounded(log, "Metric_value"), ["by_quantity", "by_price"])
     return pivot.withColumns({c: F.round(c, 5) for c in ("by_quantity", "by_price")})
 
 
@@ -652,13 +683,35 @@ _CHI_P = """(SELECT 1 - sqrt(2 / pi()) * sqrt(statistic) / 2000 / 3 * sum(CASE W
 
 
 @query(
-    f"""WITH {_CHI} SELECT feature, round({_CHI_P}, 6) AS p_value, 1 AS dof, round(statistic, 6) AS statistic FROM chi"""
+    f"""WITH {_CHI} SELECT feature, round({_CHI_P}, 6) AS p_value, 1::BIGINT AS dof, round(statistic, 6) AS statistic FROM chi"""
 )
 def chi_square(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = chi_square_scores(labelled_lines(spark, sf_dir), ["is_open", "is_early"], "y")
     return rounded(scores, "p_value", "statistic")
 
 
+_WIDE_CELLS = """cells AS (SELECT l_partkey AS v, l_suppkey AS y, CAST(count(*) AS DOUBLE) AS o FROM lineitem GROUP BY ALL),
+  of_value AS (SELECT v, sum(o) AS n FROM cells GROUP BY v), of_label AS (SELECT y, sum(o) AS n FROM cells GROUP BY y),
+  size AS (SELECT sum(o) AS n FROM cells),
+  wide AS (SELECT (SELECT sum(o * o / (a.n * b.n)) FROM cells JOIN of_value a USING (v) JOIN of_label b USING (y)) * size.n - size.n AS statistic,
+    ((SELECT count(*) FROM of_value) - 1) * ((SELECT count(*) FROM of_label) - 1) AS dof FROM size)"""
+# Far from few degrees the cube root of a chi-square over its freedom is nearly normal (Wilson and Hilferty): right to 1e-4.
+_WIDE_P = """CASE WHEN z > 0 THEN tail ELSE 1 - tail END"""
+
+
+@query(
+    f"""WITH {_WIDE_CELLS}, z AS (SELECT *, (cbrt(statistic / dof) - (1 - 2.0 / (9.0 * dof))) / sqrt(2.0 / (9.0 * dof)) AS z FROM wide),
+  t AS (SELECT *, 0.5 - abs(z) / 2000 / 3 / sqrt(2 * pi()) * (SELECT sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+    * exp(-z * z * i * i / 2000.0 / 2000.0 / 2)) FROM range(2001) AS s(i)) AS tail FROM z)
+SELECT 'l_partkey' AS feature, dof::BIGINT AS dof, round(statistic, 3) AS statistic, round({_WIDE_P}, 3) AS p_value FROM t"""
+)
+def chi_square_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two key columns: at sf0.01 some 200,000 degrees of freedom."""
+    lines = table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey")
+    scores = chi_square_scores(lines, ["l_partkey"], "l_suppkey")
+    return scores.withColumns({"statistic": F.round("statistic", 3), "p_value": F.round("p_value", 3)})
+
+
 _F = """f AS (SELECT feature, n, r2 / (1 - r2) * (n - 2) AS f_value FROM (
     SELECT 'l_quantity' AS feature, count(*) AS n,
       covar_pop(l_quantity, y) * covar_pop(l_quantity, y) / var_pop(l_quantity) / var_pop(y) AS r2 FROM lines
@@ -692,6 +745,38 @@ def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage.transform(labelled_lines(spark, sf_dir))
 
 
+_METRIC_ROWS = f"""SELECT 'metric' AS log, "Label_category" AS category, classifier AS of, "Metric_name" AS metric, "Metric_value" AS value
+FROM ({_metrics_sql('by_price')})"""
+
+
+@query(
+    f"""WITH {SCORED}, {_SHARES}, {_ks_sql(_ORDER_PAIRS)}, {_CHI}, {_F}
+{_METRIC_ROWS}
+UNION ALL SELECT 'drift', 'Categorical', feature, 'JS_Divergence', round(js, 3) FROM ({_JS})
+UNION ALL SELECT 'drift', 'Continous', feature, 'KS_Divergence - Pvalue', round(p, 3) FROM ks
+UNION ALL SELECT 'feature', 'Categorical', feature, 'Chi-Square test - pValue', round({_CHI_P}, 3) FROM chi
+UNION ALL SELECT 'feature', 'Continous', feature, 'Anova test - pValue', round({_F_P}, 3) FROM f"""
+)
+def logs_written_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three logs, each written twice by the same run, as a retried job would, and read once."""
+    logs = {
+        "metric": (quantity_scores(spark, sf_dir, "by_price"), METRIC_LOG, "classifier"),
+        "drift": (drift_log(spark, sf_dir), FEATURE_LOG, "Feature_name"),
+        "feature": (feature_log(spark, sf_dir), FEATURE_LOG, "Feature_name"),
+    }
+    read = []
+    for name, (log, schema, of) in logs.items():
+        location = f"{shared_folder(spark)}/{name}-log-{uuid.uuid4().hex}"
+        for _ in range(2):
+            append_log(log, location, run_id="run-1")
+        rows = read_log(spark, location, schema)
+        read.append(rows.select(
+            F.lit(name).alias("log"), F.col("Label_category").alias("category"), F.col(of).alias("of"),
+            F.col("Metric_name").alias("metric"), F.round("Metric_value", 6).alias("value"),
+        ))
+    return union_logs(read)
+
+
 # Training
 
 

@@ -116,6 +116,20 @@ def test_ks_reads_each_side_once(spark, tmp_path):
     assert "NestedLoop" not in plan and "Exchange SinglePartition" not in plan and "Python" not in plan
 
 
+def test_ks_leaves_nan_out(spark):
+    left, right = frame(spark, [1.0, 2.0, float("nan"), 3.0, None], "double"), frame(spark, [1.0, float("nan"), 4.0], "double")
+    row = ks_two_sample(left, right, ["c"]).first()
+    assert (row.n_left, row.n_right) == (3, 2) and row.distance == pytest.approx(0.5)
+
+
+def test_drift_report_reads_each_side_once(spark, tmp_path):
+    rows = spark.range(500).selectExpr("string(id % 7) k", "double(id % 90) x", "id z", "int(id % 2) y")
+    rows.write.parquet(str(tmp_path / "a"))
+    old, new = spark.read.parquet(str(tmp_path / "a")), spark.read.parquet(str(tmp_path / "a")).filter("x > 10")
+    plan = executed_plan(drift_report(old, new, ["k", "z"], ["x", "z"], "y", 1, "2024-02-03"))
+    assert plan.count("FileScan") == 2 and "SinglePartition" not in plan
+
+
 def test_drift_report_shape(spark):
     rows = spark.createDataFrame([("a", 1.0, 1), ("b", 2.0, 0)], "k string, x double, y int")
     report = drift_report(rows, rows, ["k"], ["x"], "y", 7, "2024-02-03")
