@@ -14,7 +14,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
 from struct import Struct
 
 import numpy as np
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabcycle.llm.common import arrow_map, texts_of
+from tabcycle.llm.common import arrow_map, texts_of, worker_tables
 from tabcycle.llm.pretokens import PieceIds
 
 START = -1
@@ -258,16 +257,18 @@ def decode_text(pieces: Iterable[bytes]) -> Iterator[str]:
     yield stream.close()
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> tuple[PieceIds, list[bytes]]:
-    """One per Python worker: its tables outlive a batch."""
-    ranks = read_ranks(path)
-    machine = Transducer(ranks)
-    cut = PieceIds(lambda pieces: [machine.encode(piece.encode()) for piece in pieces], pattern)
-    tokens = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    return cut, tokens
+    """One per Python worker and vocabulary: its tables outlive a batch."""
+    held = worker_tables("byte_bpe")
+    if (path, pattern) not in held:
+        ranks = read_ranks(path)
+        machine = Transducer(ranks)
+        cut = PieceIds(lambda pieces: [machine.encode(piece.encode()) for piece in pieces], pattern)
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        held[path, pattern] = cut, tokens
+    return held[path, pattern]
 
 
 def encode_documents(

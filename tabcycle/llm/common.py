@@ -55,6 +55,36 @@ def arrow_fields(schema: str) -> pa.Schema:
     return to_arrow_schema(_parse_datatype_string(schema))
 
 
+#: What this Python worker keeps between batches and tasks: the tables of one operator at a time.
+_TABLES: dict[str, dict] = {}
+
+
+def worker_tables(operator: str) -> dict:
+    """The tables that an operator keeps in a Python worker.
+
+    Spark reuses workers for whatever comes next. An operator that asks for its tables has those of all others
+    dropped, so a worker holds what one operator needs, and not the sum over a job.
+    """
+    if operator not in _TABLES:
+        _TABLES.clear()
+        _TABLES[operator] = {}
+    return _TABLES[operator]
+
+
+#: Characters of text that are in work at one time.
+AT_ONCE = 1_000_000
+
+
+def parts(texts: list[str], at_once: int = AT_ONCE) -> Iterator[list[str]]:
+    """The texts, some at a time: up to `at_once` characters and the text that goes beyond."""
+    first, size = 0, 0
+    for nth, text in enumerate(texts):
+        size += len(text)
+        if size >= at_once or nth == len(texts) - 1:
+            yield texts[first : nth + 1]
+            first, size = nth + 1, 0
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 

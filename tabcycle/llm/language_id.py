@@ -7,14 +7,12 @@ bundles the windows of its texts, and a text has the language whose bundle is ne
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabcycle.llm.common import arrow_map, texts_of
+from tabcycle.llm.common import arrow_map, parts, texts_of, worker_tables
 
 DIMENSIONS = 1024
 SEED = 20240
@@ -22,19 +20,30 @@ SEED = 20240
 TEXTS, WINDOWS = 512, 8192
 
 
-@lru_cache(maxsize=1)
+#: Letters whose vectors a worker keeps; beyond these they are drawn anew.
+KEPT_LETTERS = 4096
+
+
 def letter_table() -> np.ndarray:
     """Code point to itself where it is a letter, else to 0."""
-    table = np.zeros(0x110000, np.int32)
-    letters = [c for c in range(0x110000) if chr(c).isalpha()]
-    table[letters] = letters
-    return table
+    held = worker_tables("language_id")
+    if "letters" not in held:
+        table = np.zeros(0x110000, np.int32)
+        letters = [c for c in range(0x110000) if chr(c).isalpha()]
+        table[letters] = letters
+        held["letters"] = table
+    return held["letters"]
 
 
-@lru_cache(maxsize=20_000)
 def letter_vector(code: int, dimensions: int) -> np.ndarray:
-    bits = np.random.Generator(np.random.PCG64([SEED, code])).integers(0, 2, dimensions, np.int8)
-    return bits * 2 - 1
+    held = worker_tables("language_id").setdefault("vectors", {})
+    vector = held.get((code, dimensions))
+    if vector is None:
+        bits = np.random.Generator(np.random.PCG64([SEED, code])).integers(0, 2, dimensions, np.int8)
+        vector = bits * 2 - 1
+        if len(held) < KEPT_LETTERS:
+            held[code, dimensions] = vector
+    return vector
 
 
 def windows_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -100,17 +109,21 @@ def learn(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str],
     """
 
     def each(batch: pa.RecordBatch) -> dict:
-        names = batch.column(1).to_pylist()
-        letters, _, counted = windows_of(texts_of(batch))
-        keys: dict[str, list] = {}
-        for name, (own, n) in zip(names, counted, strict=True):
-            if len(own) and name is not None:
-                keys.setdefault(name, []).append((own, n / n.sum()))
-        rows = []
-        for parts in keys.values():
-            own, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-            rows.append((own, np.bincount(at, np.concatenate([w for _, w in parts]))))
-        return {"lang": list(keys), "bundle": list(bundles(rows, letters, dimensions).astype(float))}
+        summed: dict[str, np.ndarray] = {}
+        names = iter(batch.column(1).to_pylist())
+        for some in parts(texts_of(batch)):
+            letters, _, counted = windows_of(some)
+            keys: dict[str, list] = {}
+            for (own, n), name in zip(counted, names, strict=False):
+                if len(own) and name is not None:
+                    keys.setdefault(name, []).append((own, n / n.sum()))
+            rows = []
+            for found in keys.values():
+                own, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+                rows.append((own, np.bincount(at, np.concatenate([w for _, w in found]))))
+            for name, bundle in zip(keys, bundles(rows, letters, dimensions).astype(float), strict=True):
+                summed[name] = summed.get(name, 0.0) + bundle
+        return {"lang": list(summed), "bundle": list(summed.values())}
 
     made = arrow_map(labelled.select("text", "lang"), "lang string, bundle array<double>", each)
     summed = (
@@ -140,15 +153,20 @@ def predict(docs: DataFrame, names: list[str], profiles: np.ndarray, keep: list[
     shared = profiles.astype(np.float32)
 
     def each(batch: pa.RecordBatch) -> dict:
-        letters, _, counted = windows_of(texts_of(batch, "__text"))
-        some = [nth for nth, (keys, _) in enumerate(counted) if len(keys)] if names else []
-        made = bundles([counted[nth] for nth in some], letters, dimensions)
-        predicted, scores = ["und"] * len(counted), [0.0] * len(counted)
-        if some:
-            lengths = np.linalg.norm(made, axis=1)
-            cosines = made @ shared.T / np.where(lengths > 0, lengths, 1)[:, None]
-            for nth, best, row in zip(some, cosines.argmax(1), cosines, strict=True):
-                predicted[nth], scores[nth] = names[best], float(min(max(row[best], 0.0), 1.0))
+        predicted: list[str] = []
+        scores: list[float] = []
+        for texts in parts(texts_of(batch, "__text")):
+            letters, _, counted = windows_of(texts)
+            some = [nth for nth, (keys, _) in enumerate(counted) if len(keys)] if names else []
+            first = len(predicted)
+            predicted += ["und"] * len(counted)
+            scores += [0.0] * len(counted)
+            if some:
+                made = bundles([counted[nth] for nth in some], letters, dimensions)
+                lengths = np.linalg.norm(made, axis=1)
+                cosines = made @ shared.T / np.where(lengths > 0, lengths, 1)[:, None]
+                for nth, best, row in zip(some, cosines.argmax(1), cosines, strict=True):
+                    predicted[first + nth], scores[first + nth] = names[best], float(min(max(row[best], 0.0), 1.0))
         kept = {c: batch.column(1 + nth) for nth, c in enumerate(keep)}
         return kept | {"lang_pred": predicted, "score": scores}
 

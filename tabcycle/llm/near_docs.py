@@ -9,14 +9,13 @@ verified by their exact weighted Jaccard similarity.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabcycle.llm.common import arrow_map, components, stored, texts_of, work_folder
+from tabcycle.llm.common import arrow_map, components, parts, stored, texts_of, work_folder, worker_tables
 
 SHINGLE = 5
 LEAST = 0.8
@@ -32,8 +31,11 @@ U = np.uint64
 #: Pairs that one band may ask for in the first round, and by what power of two this grows from round to round:
 #: early rounds join most of a band at little cost, and what they leave takes few more rounds, whatever its size.
 PAIRS, GROWTH = 16_384, 3
-#: Characters of text that are in work at one time.
-AT_ONCE = 1_000_000
+#: Bands with more members than this outside their largest component, after the first round, are cut anew: their
+#: documents get bands of a second kind, which only documents that are quite alike share. A pair with similarity 0.8
+#: shares one of these with probability 0.9989, one with 0.6 with 0.30, one with 0.43 with 0.013.
+LARGE = 64
+FINE_BANDS, FINE_ROWS = 60, 10
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -43,10 +45,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-@lru_cache(maxsize=4)
 def powers(n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.cumprod(np.full(n, 0x9E3779B97F4A7C15, U), dtype=U)
+    held = worker_tables("near_docs")
+    if len(held.get("powers", ())) < n:
+        with np.errstate(over="ignore"):
+            held["powers"] = np.cumprod(np.full(n, 0x9E3779B97F4A7C15, U), dtype=U)
+    return held["powers"]
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -88,15 +92,6 @@ def shingle_sets(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.unique(mix(made + U(width)), return_counts=True)
 
 
-def parts(texts: list[str]) -> Iterator[list[str]]:
-    first, size = 0, 0
-    for nth, text in enumerate(texts):
-        size += len(text)
-        if size >= AT_ONCE or nth == len(texts) - 1:
-            yield texts[first : nth + 1]
-            first, size = nth + 1, 0
-
-
 def slots(hashes: np.ndarray) -> np.ndarray:
     """Slots of hashes, in the order of the hashes."""
     return (hashes >> U(46)).astype(np.int64)
@@ -154,15 +149,17 @@ def idf_table(frequencies: np.ndarray, n: int) -> np.ndarray:
     return (1.0 + 0.25 * np.log(n / np.minimum(frequencies, n)) / np.log(n)).astype(np.float32)
 
 
-@lru_cache(maxsize=1)
 def variates() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Draws of r and c from Gamma(2, 1) that hashes index: r, log c, and log c - r, by which they are ordered."""
-    rng = np.random.Generator(np.random.PCG64(SEED))
-    r = np.maximum(rng.gamma(2.0, 1.0, 1 << DRAWS), 1e-6).astype(np.float32)
-    log_c = np.log(rng.gamma(2.0, 1.0, 1 << DRAWS)).astype(np.float32)
-    order = np.argsort(log_c - r, kind="stable")
-    r, log_c = r[order], log_c[order]
-    return r, log_c, log_c - r
+    held = worker_tables("near_docs")
+    if "variates" not in held:
+        rng = np.random.Generator(np.random.PCG64(SEED))
+        r = np.maximum(rng.gamma(2.0, 1.0, 1 << DRAWS), 1e-6).astype(np.float32)
+        log_c = np.log(rng.gamma(2.0, 1.0, 1 << DRAWS)).astype(np.float32)
+        order = np.argsort(log_c - r, kind="stable")
+        r, log_c = r[order], log_c[order]
+        held["variates"] = r, log_c, log_c - r
+    return held["variates"]
 
 
 def draw(products: np.ndarray, mixed: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,8 +175,10 @@ def draw(products: np.ndarray, mixed: np.ndarray, logs: np.ndarray) -> tuple[np.
     return t, log_gamma[at] - r * (t - uniform + 1)
 
 
-def band_keys(sets: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> list[list[int] | None]:
-    """Per set the keys of its bands; none for an empty set.
+def band_keys(
+    sets: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, bands: int = BANDS, rows: int = ROWS, first: int = 1
+) -> list[list[int] | None]:
+    """Per set the keys of its bands; none for an empty set. `first` is the number of the first sample taken.
 
     The least value of a set of weight W is below log(8 / W) but for one draw in 3,000, and a value is never
     below log c - r - log w. So one comparison of hashes tells which elements can be the least one; only these
@@ -200,8 +199,8 @@ def band_keys(sets: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> lis
     # Single precision is good to less than the thousandth that is added.
     passed = np.searchsorted(variates()[2], bound[owner] + logs + np.float32(1e-3), side="right")
     limit = ((np.maximum(passed, 1) << (32 - DRAWS)) - 1).astype(np.uint32)
-    factors = mix(np.arange(1, BANDS * ROWS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
-    keys = np.zeros((len(filled), BANDS), U)
+    factors = mix(np.arange(first, first + bands * rows, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
+    keys = np.zeros((len(filled), bands), U)
     high = (hashes >> U(32)).astype(np.uint32)
     products, possible = np.empty_like(high), np.empty(len(high), bool)
     for nth, factor in enumerate(factors):
@@ -224,7 +223,7 @@ def band_keys(sets: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray) -> lis
             at = int(np.argmin(value))
             best[one], step[one] = starts[one] + at, t[at]
         sample = mix(hashes[best] + step.astype(np.int64).astype(U) * U(0x9E3779B97F4A7C15))
-        band = nth // ROWS
+        band = nth // rows
         keys[:, band] = mix(keys[:, band] * U(31) + sample + U(band))
     for nth, row in zip(filled, keys.view(np.int64).tolist(), strict=True):
         out[nth] = row
@@ -260,8 +259,9 @@ def near_documents(
     classes, so each set is a member of its own class and the next. Members are not compared all with all:
     every round a band picks pivots outside its largest component (one in the first round, more in each later
     one), and each meets the members outside its own component. A band is done when it has one component or
-    all members outside the largest have been pivots, so no link between components is lost. A band whose
-    members share samples without being linked is thus compared pair by pair in the end.
+    all members outside the largest have been pivots, so no link between components is lost. What the first round
+    leaves of a large band is cut into finer ones first (see LARGE), so that documents which are alike but not
+    near, like copies that have each been changed in places of their own, do not all meet each other.
     """
     folder = folder or work_folder(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -286,11 +286,7 @@ def near_documents(
         signed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("class").alias("class")),
         f"{folder}/classes",
     )
-    near_classes = F.explode(F.array("class", F.col("class") + 1)).alias("class")
-    banded = classes.select("rep", "bands", near_classes).select("rep", "class", F.explode("bands").alias("band"))
-    banded = banded.select("rep", F.xxhash64("band", "class").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(banded.join(shared, "key").select("key", F.col("rep").alias("id"), "n"), f"{folder}/members")
+    members = stored(band_members(classes.select(F.col("rep").alias("id"), "bands", "class")), f"{folder}/members")
     links = linked(rows, members, idf, least, kind, folder)
     named = classes.select("h1", "h2", "rep")
     named = named.join(links, named.rep == links.node, "left").select(
@@ -302,6 +298,15 @@ def near_documents(
     )
 
 
+def band_members(banded: DataFrame) -> DataFrame:
+    """Rows (key, id, n) of bands with several members, from (id, bands, class): the id stands in its class and the next."""
+    near_classes = F.explode(F.array("class", F.col("class") + 1)).alias("class")
+    banded = banded.select("id", "bands", near_classes).select("id", "class", F.explode("bands").alias("band"))
+    banded = banded.select("id", F.xxhash64("band", "class").alias("key"))
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return banded.join(shared, "key").select("key", "id", "n")
+
+
 def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, kind: str, folder: str) -> DataFrame:
     """(node, component) of the documents with links."""
     spark = rows.sparkSession
@@ -331,6 +336,29 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
                 out["b"].append(b)
         return out
 
+    def sign_finely(batch: pa.RecordBatch) -> dict:
+        keys: list = []
+        classes: list = []
+        for some in parts(texts_of(batch)):
+            sets = list(shingle_sets(some))
+            keys += band_keys(sets, idf, FINE_BANDS, FINE_ROWS, BANDS * ROWS + 1)
+            classes += [weight_class(hashes, counts, idf, least) for hashes, counts in sets]
+        return {"id": batch.column(0), "bands": keys, "class": classes}
+
+    def cut_anew(members: DataFrame, named: DataFrame) -> DataFrame:
+        """The members, with those of large bands dealt to fine bands instead."""
+        placed = members.join(named, members.id == named.node, "left").select("key", F.coalesce("component", "id").alias("c"))
+        sizes = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size")).groupBy("key")
+        large = sizes.agg((F.sum("size") - F.max("size")).alias("outside")).filter(F.col("outside") > LARGE).select("key")
+        large = stored(large, f"{folder}/large")
+        if not large.limit(1).count():
+            return members
+        of_large = members.join(large, "key", "left_semi").select("id").distinct()
+        texts = rows.join(of_large, "id", "left_semi").select("id", "text")
+        fine = stored(arrow_map(texts, f"id {kind}, bands array<bigint>, class int", sign_finely), f"{folder}/fine")
+        rest = members.join(large, "key", "left_anti")
+        return stored(rest.unionByName(band_members(fine)), f"{folder}/members-fine")
+
     def of_rounds(last: int, name: str, schema: str) -> DataFrame:
         """What the rounds so far have written under a name."""
         paths = [f"{folder}/round-{nth}/{name}" for nth in range(last)]
@@ -339,6 +367,8 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
     named = spark.createDataFrame([], f"node {kind}, component {kind}")
     step = 0
     while True:
+        if step == 1:
+            members = cut_anew(members, named)
         met = of_rounds(step, "pairs", f"a {kind}, b {kind}")
         pivots = of_rounds(step, "pivots", f"key bigint, id {kind}, own {kind}").select("key", "id", F.lit(True).alias("was"))
         at = f"{folder}/round-{step}"

@@ -8,10 +8,11 @@ what stands between two spaces is looked up as a whole. Any other text is cut by
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import regex
+from public_tokenizers import PATTERN
 
 #: White space that the quick cut cannot take: all but space and line end, or two of them side by side.
 UNEVEN = re.compile(
@@ -27,12 +28,21 @@ class PieceIds:
     """Ids of texts, as little-endian 32-bit integers.
 
     `ids_of` takes distinct pieces of the pattern and gives the packed ids of each. What it gave is kept for
-    up to `most` strings, the first ones met; strings met later are worked out again, so memory is bounded.
+    up to `most` characters of strings, the first ones met; strings met later are worked out again, so memory is
+    bounded. Strings in `whole` are pieces wherever they stand, the longest first.
+
+    The quick cut holds for the one pattern it was written for; texts are cut by any other pattern itself.
     """
 
-    def __init__(self, ids_of: Callable[[list[str]], list[bytes]], pattern: str, most: int = 500_000):
+    def __init__(
+        self, ids_of: Callable[[list[str]], list[bytes]], pattern: str, most: int = 4_000_000, whole: Sequence[str] = ()
+    ):
         self.ids_of, self.most, self.pattern = ids_of, most, regex.compile(pattern)
+        self.quick = pattern == PATTERN
+        self.whole = frozenset(whole)
+        self.marks = re.compile("|".join(map(re.escape, sorted(whole, key=len, reverse=True)))) if whole else None
         self.kept: dict[str, bytes] = {}
+        self.size = 0
 
     def texts(self, texts: list[str], at_once: int = 4_000_000) -> Iterable[bytes]:
         """The ids of each text; strings not yet known are asked for together, some megabytes of text at a time."""
@@ -44,7 +54,18 @@ class PieceIds:
                 first, size = nth + 1, 0
 
     def _pieces(self, text: str) -> list[str]:
-        if UNEVEN.search(text):
+        if self.marks and self.marks.search(text):
+            out, at = [], 0
+            for mark in self.marks.finditer(text):
+                out += [*self._uncut(text[at : mark.start()]), mark[0]]
+                at = mark.end()
+            return out + self._uncut(text[at:])
+        return self._uncut(text)
+
+    def _uncut(self, text: str) -> list[str]:
+        if not text:
+            return []
+        if not self.quick or UNEVEN.search(text):
             return self.pattern.findall(text)
         # The piece " word" is kept under " word"; a space that opens a line has a piece of its own only there.
         out = []
@@ -59,6 +80,8 @@ class PieceIds:
 
     def _split(self, string: str) -> list[str]:
         """The pieces of the pattern in a string; a word with a sign at its end needs no search."""
+        if string in self.whole:
+            return [string]
         word = string[1:] if string[0] == " " else string
         if word.isalpha():
             return [string]
@@ -76,7 +99,8 @@ class PieceIds:
         for string, pieces in new.items():
             if len(pieces) > 1:
                 found[string] = b"".join([found[piece] for piece in pieces])
-        if len(known) < self.most:
+        if self.size < self.most:
+            self.size += sum(map(len, found))
             known.update(found)
             found = known
         for strings in cut:

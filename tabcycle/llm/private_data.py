@@ -20,7 +20,8 @@ from tabcycle.llm.common import arrow_map, texts_of
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+#: A number is begun at its first digit only, so that long ones are read once.
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
@@ -46,34 +47,42 @@ DIGIT_NAMES = {
 }
 
 NAME = "(?:" + "|".join(sorted(DIGIT_NAMES, key=len, reverse=True)) + ")"
-GAP = r"(?:[ \t\n]*[-,./]?[ \t\n]*)"
+# Possessive repeats, begun where the white space begins: long runs of it are read once.
+GAP = r"(?:[ \t\n]*+[-,./]?[ \t\n]*+)"
 DOT_WORD = r"(?:dot|point|punkt|punto)"
-#: A run of at least four names of digits, with digits, dots and a plus between them.
+#: A run that opens with the name of a digit, with three more names, numbers or dots.
 SPELLED = re.compile(
-    rf"(?:\bplus\b{GAP}|\+[ ]?)?\b{NAME}\b(?:{GAP}(?:\b{NAME}\b|[0-9]+|\b{DOT_WORD}\b)){{3,}}", re.IGNORECASE
+    rf"(?:\bplus\b{GAP}|\+[ ]?)?\b{NAME}\b(?:{GAP}(?:\b{NAME}\b|[0-9]++|\b{DOT_WORD}\b)){{3,}}", re.IGNORECASE
 )
 #: Words that show a name of a digit, as white space cuts them.
 NAME_WORDS = frozenset(name + end for name in DIGIT_NAMES for end in ("", ",", ".", "-", "/"))
 JOINED = re.compile(r"[-,./]")
 SPELLED_PART = re.compile(rf"\b(?:({NAME})|({DOT_WORD})|(plus))\b|([0-9+]+)|([^0-9+A-Za-zÀ-ÿ]+)", re.IGNORECASE)
-BOXED_AT = r"[ \t]*[\[({<][ \t]*(?:at|@|arroba|chez)[ \t]*[\])}>][ \t]*"
-BOXED_DOT = rf"[ \t]*[\[({{<][ \t]*(?:{DOT_WORD}|\.)[ \t]*[\])}}>][ \t]*"
-WORD_AT, WORD_DOT = r"[ \t]+(?:at|arroba)[ \t]+", rf"[ \t]+{DOT_WORD}[ \t]+"
-LABEL = r"[A-Za-z0-9-]+"
-#: at in words needs a dot in words or brackets; at in brackets, or @, may have a plain dot too.
-MAIL = re.compile(
-    rf"[A-Za-z0-9_%+-]+(?:(?:\.|{BOXED_DOT}|{WORD_DOT})[A-Za-z0-9_%+-]+)*?"
-    rf"(?:(?:{BOXED_AT}|[ \t]*@[ \t]*){LABEL}(?:(?:\.|{BOXED_DOT}|{WORD_DOT}){LABEL})+"
-    rf"|{WORD_AT}{LABEL}(?:\.{LABEL})*(?:(?:{BOXED_DOT}|{WORD_DOT}){LABEL}(?:\.{LABEL})*)+)",
+OPEN, SHUT = r"[ \t]*+[\[({<][ \t]*+", r"[ \t]*+[\])}>][ \t]*+"
+BOXED_AT = rf"{OPEN}(?:at|@|arroba|chez){SHUT}"
+BOXED_DOT = rf"{OPEN}(?:{DOT_WORD}|\.){SHUT}"
+WORD_AT, WORD_DOT = r"[ \t]++(?:at|arroba)[ \t]++", rf"[ \t]++{DOT_WORD}[ \t]++"
+PLAIN_AT = r"[ \t]*+@[ \t]*+"
+LABEL = r"[A-Za-z0-9-]++"
+NAMED = r"[A-Za-z0-9_%+-]++"
+AT = re.compile(rf"(?<![ \t])(?:({BOXED_AT}|{PLAIN_AT})|{WORD_AT})", re.IGNORECASE)
+#: What follows an at: after one in words a dot in words or brackets must come, after any other a plain one will do.
+DOMAIN_OF_MARK = re.compile(rf"{LABEL}(?:(?:\.|{BOXED_DOT}|{WORD_DOT}){LABEL})+", re.IGNORECASE)
+DOMAIN_OF_WORD = re.compile(rf"{LABEL}(?:\.{LABEL})*+(?:(?:{BOXED_DOT}|{WORD_DOT}){LABEL}(?:\.{LABEL})*+)+", re.IGNORECASE)
+#: What stands before an at, read from there backwards, in the text turned round.
+NAME_BACK = re.compile(
+    rf"{NAMED}(?:(?:\.|[ \t]*+[\])}}>][ \t]*+(?:{'|'.join(w[::-1] for w in ('dot', 'point', 'punkt', 'punto'))}|\.)[ \t]*+[\[({{<][ \t]*+"
+    rf"|[ \t]++(?:{'|'.join(w[::-1] for w in ('dot', 'point', 'punkt', 'punto'))})[ \t]++){NAMED})*",
     re.IGNORECASE,
 )
 MAIL_HINT = re.compile(
-    rf"[\[({{<][ \t]*(?:at|@|arroba|chez)[ \t]*[\])}}>]|[ \t]@|@[ \t]|@[A-Za-z0-9-]+(?:{BOXED_DOT}|{WORD_DOT})"
-    rf"|[ \t](?:at|arroba)[ \t]+[A-Za-z0-9.-]+(?:{BOXED_DOT}|{WORD_DOT})",
+    rf"[\[({{<][ \t]*+(?:at|@|arroba|chez)[ \t]*+[\])}}>]|[ \t]@|@[ \t]|@[A-Za-z0-9-]++(?:{BOXED_DOT}|{WORD_DOT})"
+    rf"|(?:{BOXED_DOT}|{WORD_DOT})[A-Za-z0-9._%+-]++@"
+    rf"|[ \t](?:at|arroba)[ \t]++[A-Za-z0-9.-]++(?:{BOXED_DOT}|{WORD_DOT})",
     re.IGNORECASE,
 )
-DISGUISE = re.compile(rf"({BOXED_AT}|{WORD_AT}|[ \t]*@[ \t]*)|({BOXED_DOT}|{WORD_DOT})", re.IGNORECASE)
-DOTTED = re.compile(rf"[0-9]{{1,3}}(?:(?:{BOXED_DOT}|{WORD_DOT}|\.)[0-9]{{1,3}}){{3}}", re.IGNORECASE)
+DISGUISE = re.compile(rf"(?<![ \t])(?:({BOXED_AT}|{WORD_AT}|{PLAIN_AT})|({BOXED_DOT}|{WORD_DOT}))", re.IGNORECASE)
+DOTTED = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:(?:{BOXED_DOT}|{WORD_DOT}|\.)[0-9]{{1,3}}){{3}}", re.IGNORECASE)
 DOTTED_HINT = re.compile(rf"[0-9](?:{BOXED_DOT}|{WORD_DOT})[0-9]", re.IGNORECASE)
 
 Span = tuple[int, int, str]
@@ -115,7 +124,7 @@ def identifiers(text: str) -> list[Span]:
     found = [(start, end, "email") for start, end in emails(text)]
     if DIGIT.search(text):
         for m in IP.finditer(text):
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+            if all(len(short := part.lstrip("0")) <= 3 and int(short or 0) <= 255 for part in m[0].split(".")):
                 found.append((*m.span(), "ip"))
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 14:
@@ -170,9 +179,9 @@ def plain_characters(tape: Tape) -> None:
 
 
 def names_digits(text: str) -> bool:
-    """Whether a text may hold two names of digits."""
+    """Whether a text may hold the name of a digit."""
     words = text.lower().split()
-    if sum(map(NAME_WORDS.__contains__, words)) > 1:
+    if not NAME_WORDS.isdisjoint(words):
         return True
     return any(not NAME_WORDS.isdisjoint(JOINED.split(w)) for w in words if "-" in w or "," in w[:-1] or "/" in w or "." in w[:-1])
 
@@ -190,12 +199,22 @@ def plain_digits(tape: Tape) -> None:
     tape.rewrite(parts)
 
 
+def disguised_mails(text: str) -> list[tuple[int, int]]:
+    """Addresses with any at and dots, found from the at outwards: each part of the text is read once."""
+    found, done, turned = [], 0, text[::-1]
+    for mark in AT.finditer(text):
+        if mark.start() > done:
+            name = NAME_BACK.match(turned, len(text) - mark.start(), len(text) - done)
+            domain = (DOMAIN_OF_MARK if mark[1] else DOMAIN_OF_WORD).match(text, mark.end())
+            if name and domain:
+                done = domain.end()
+                found.append((len(text) - name.end(), done))
+    return found
+
+
 def plain_marks(tape: Tape) -> None:
     parts = []
-    if MAIL_HINT.search(tape.text):
-        runs = [m.span() for m in MAIL.finditer(tape.text)]
-    else:
-        runs = []
+    runs = disguised_mails(tape.text) if MAIL_HINT.search(tape.text) else []
     if DOTTED_HINT.search(tape.text):
         runs += [m.span() for m in DOTTED.finditer(tape.text)]
     done = 0
@@ -207,7 +226,10 @@ def plain_marks(tape: Tape) -> None:
 
 
 def disguised(text: str, plain: list[Span]) -> list[Span]:
-    """Identifiers that only the rewritten text shows, as spans of the source; none overlaps a plain one."""
+    """Identifiers that only the rewritten text shows whole, as spans of the source.
+
+    Where the plain text shows a part of one, both spans stand; one that a plain span of its kind holds is not new.
+    """
     tape = Tape(text)
     for transducer in (plain_characters, plain_digits, plain_marks):
         transducer(tape)
@@ -216,7 +238,7 @@ def disguised(text: str, plain: list[Span]) -> list[Span]:
     found = []
     for start, end, kind in identifiers(tape.text):
         start, end = tape.source(start, end)
-        if not any(s < end and start < e for s, e, _ in plain):
+        if not any(s <= start and end <= e for s, e, k in plain if k == kind):
             found.append((start, end, kind))
     return found
 
@@ -251,10 +273,21 @@ def private_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def masked(text: str, spans: list[Span], mask: str = "<{}>") -> str:
-    """The text with every span replaced by its kind; of overlapping spans the first counts."""
-    out, at = [], 0
+    """The text with its identifiers replaced by their kind. Overlapping spans are one, of the longest's kind (the first of equals)."""
+    out, at, held = [], 0, []
+
+    def close() -> None:
+        kind = max(held, key=lambda s: s[1] - s[0])[2]
+        out.append(mask.format(kind))
+
     for start, end, kind in in_order(spans):
-        if start >= at:
-            out += [text[at:start], mask.format(kind)]
-            at = end
+        if held and start >= at:
+            close()
+            held.clear()
+        if not held:
+            out.append(text[at:start])
+        held.append((start, end, kind))
+        at = max(at, end)
+    if held:
+        close()
     return "".join([*out, text[at:]])

@@ -14,7 +14,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabcycle.llm.common import arrow_fields, arrow_map, stored, texts_of, work_folder
+from tabcycle.llm.common import arrow_fields, arrow_map, stored, texts_of, work_folder, worker_tables
 from tabcycle.llm.pretokens import PieceIds
 
 MAGIC = b"PFORIDS1"
@@ -160,20 +159,27 @@ def write_file(path: str, content: bytes, attempt: str) -> None:
     store.move(f"{at}.{attempt}", at)
 
 
-@lru_cache(maxsize=2)
 def pieces(path: str, pattern: str) -> PieceIds:
-    """One per Python worker. The library gives the ids of every piece; texts are made of pieces."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    """One per Python worker. The library gives the ids of every piece; texts are made of pieces.
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    The strings of the file's added tokens are pieces too, as they are to the library: a text is cut at them first.
+    """
+    held = worker_tables("token_files")
+    if (path, pattern) not in held:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        added = list(tokenizer.get_added_tokens_decoder().values())
+        if any(token.lstrip or token.rstrip or token.single_word for token in added):
+            raise ValueError("added tokens that take in their surroundings are not supported")
 
-    def ids_of(strings: list[str]) -> list[bytes]:
-        coded = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in coded]
+        def ids_of(strings: list[str]) -> list[bytes]:
+            coded = tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+            return [np.array(one.ids, "<u4").tobytes() for one in coded]
 
-    return PieceIds(ids_of, pattern)
+        held[path, pattern] = PieceIds(ids_of, pattern, whole=[token.content for token in added])
+    return held[path, pattern]
 
 
 def write_tokens(
@@ -236,7 +242,9 @@ def read_tokens(files: DataFrame, each: Callable[[np.ndarray], dict], fields: st
     A file's place among all ids is the sum of the files before it; there is one row per file.
     """
     before = Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)
-    placed = files.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+    # Three numbers per file pass this one task; the documents' ids do not.
+    starts = files.select("part", "nth", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start"))
+    placed = files.select("part", "nth", "path", "ids").join(starts, ["part", "nth"])
     tasks = placed.select("path", "ids", "start").repartition(max(1, files.count()), "path")
     kind = dict(files.dtypes)["ids"][len("array<") : -1]
     extra = [part.split()[0] for part in fields.split(",")]

@@ -39,6 +39,8 @@ class CoverTree:
                 far = int(nearest.argmax())
                 chosen.append(far)
                 nearest = np.minimum(nearest, distances(sample, sample[far : far + 1])[:, 0])
+                # Whatever rounding says: so every turn takes another vector, and there are only so many.
+                nearest[far] = 0.0
             self.levels.append(np.array(chosen))
             if radius <= leaf_radius:
                 break
@@ -93,7 +95,12 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def unit_rows(column: pa.Array) -> np.ndarray:
     values = np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64)
-    rows = values.reshape(len(column), -1)
+    return scaled(values.reshape(len(column), -1))
+
+
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows divided by their length. By their largest component first, whose square could over- or underflow."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -117,14 +124,23 @@ def near_vectors(
 
     Vectors that are null, zero or hold null or non-finite components link with nothing. Equal vectors are
     compared once: links count all of them. Vectors of several lengths are compared within their length.
-    Ids must be distinct and not null. Pairs in doubt in single precision are decided in double precision.
+    Pairs in doubt in single precision are decided in double precision. Rows need no id of their own: vectors are
+    known by 128 bits of hash, and a component is named after its smallest id that is not null (null if it has none). Of
+    rows that share this id all are kept.
     """
     folder = folder or work_folder(vectors.sparkSession)
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    good = rows.filter(usable("vector"))
+    # Zero has two signs, which hash apart.
+    plain = F.transform("vector", lambda x: x + F.lit(0.0))
+    rows = rows.withColumn("vector", F.when(usable("vector"), plain))
+    parts = [F.lpad(F.hex(F.xxhash64(F.lit(n), "vector")), 16, "0") for n in range(2)]
+    rows = rows.withColumn("of", F.when(F.col("vector").isNotNull(), F.concat(*parts)))
     same = stored(
-        good.groupBy("vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), f"{folder}/distinct"
+        rows.filter("of IS NOT NULL").groupBy(F.col("of").alias("rep")).agg(
+            F.any_value("vector").alias("vector"), F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies")
+        ),
+        f"{folder}/distinct",
     )
     sizes = [row["size"] for row in same.select(F.size("vector").alias("size")).distinct().collect()]
     links, edges = [], []
@@ -138,22 +154,24 @@ def near_vectors(
     counts = union(links).groupBy("rep").agg(F.sum("links").alias("links"))
     graph = components(union(edges).filter("a <> b").select("a", "b"), f"{folder}/graph")
     judged = (
-        same.join(counts, "rep", "left")
+        same.select("rep", "least_id", "copies").join(counts, "rep", "left")
         .join(graph.withColumnRenamed("node", "rep"), "rep", "left")
         .select(
-            F.col("vector").alias("of"),
+            F.col("rep").alias("of"),
+            "least_id",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component"),
+            F.coalesce("component", "rep").alias("root"),
         )
     )
-    usable_rows = rows.withColumn("of", F.when(usable("vector"), F.col("vector")))
-    out = usable_rows.drop("vector").join(judged, "of", "left")
-    component = F.coalesce("component", "id")
+    judged = stored(judged, f"{folder}/judged")
+    names = judged.groupBy("root").agg(F.min("least_id").alias("component"))
+    out = rows.select("id", "of").join(judged.join(names, "root").select("of", "n_links", "component"), "of", "left")
+    component = F.when(F.col("of").isNull(), F.col("id")).otherwise(F.col("component"))
     return out.select(
         "id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component"),
-        (F.col("id") == component).alias("kept"),
+        F.col("id").eqNullSafe(component).alias("kept"),
     )
 
 
@@ -171,7 +189,7 @@ def compared(same: DataFrame, size: int, least_cosine: float, sample: int, block
     # The sample is drawn by hash: the same vectors on every run.
     drawn = same.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("vector").collect()
     points = np.array([row["vector"] for row in drawn], np.float64)
-    tree = CoverTree(points / np.linalg.norm(points, axis=1, keepdims=True))
+    tree = CoverTree(scaled(points) if len(points) else points)
     centres = tree.centres
 
     def place(batch: pa.RecordBatch) -> dict:
@@ -283,7 +301,7 @@ def pair_block(reps, copies, unit, reps2, copies2, unit2, same: bool, least: flo
     joined = tree.edges
     for ids, counts in ((reps, links), (reps2, links2)):
         for at in np.flatnonzero(counts):
-            rep = ids[at].item()
+            rep = ids[at]
             yield rep, int(counts[at]), joined.pop(rep, [])
 
 
