@@ -77,7 +77,7 @@ NAME_BACK = re.compile(
 )
 MAIL_HINT = re.compile(
     rf"[\[({{<][ \t]*+(?:at|@|arroba|chez)[ \t]*+[\])}}>]|[ \t]@|@[ \t]|@[A-Za-z0-9-]++(?:{BOXED_DOT}|{WORD_DOT})"
-    rf"|(?:{BOXED_DOT}|{WORD_DOT})[A-Za-z0-9._%+-]++@"
+    rf"|(?<![ \t])(?:{BOXED_DOT}|{WORD_DOT})[A-Za-z0-9._%+-]++@"
     rf"|[ \t](?:at|arroba)[ \t]++[A-Za-z0-9.-]++(?:{BOXED_DOT}|{WORD_DOT})",
     re.IGNORECASE,
 )
