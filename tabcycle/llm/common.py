@@ -23,13 +23,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def work_folder(spark: SparkSession) -> str:
     """A new folder of one job, in the folder that all executors share.
 
-    That is spark.checkpoint.dir or, where a session has none, the warehouse.
+    That is spark.checkpoint.dir. A local master without one uses the warehouse; a cluster without one is refused, since
+    its warehouse may be anywhere. What a job writes there stays until the folder is cleared, since its result is read from it.
     """
-    shared = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or spark.sparkContext.getCheckpointDir()
-        or spark.conf.get("spark.sql.warehouse.dir")
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

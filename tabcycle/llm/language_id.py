@@ -179,7 +179,11 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
+def learnable(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows that are not held out and have a text and a lang."""
+    return docs.filter(~held_out(id_col) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+
+
 def identify(docs: DataFrame, keep: list[str], id_col: str = "doc_id", dimensions: int = DIMENSIONS) -> DataFrame:
     """Learn from the rows that are not held out and have a lang; predict all rows."""
-    labelled = docs.filter(~held_out(id_col) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return predict(docs, *learn(labelled, dimensions), keep)
+    return predict(docs, *learn(learnable(docs, id_col), dimensions), keep)
