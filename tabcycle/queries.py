@@ -351,6 +351,15 @@ def survey_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survey_recipe(assemble=False).fit(rows).transform(rows)
 
 
+@query(_SURVEY_SQL)
+def saved_recipe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recipe as `survey_features`, fitted, saved, and applied by what was loaded."""
+    rows = survey(spark, sf_dir)
+    location = f"{shared_folder(spark)}/recipe-{uuid.uuid4().hex}"
+    survey_recipe(assemble=False).fit(rows).write().save(location)
+    return PipelineModel.load(location).transform(rows)
+
+
 # Split
 
 
