@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator, Sequence
 from struct import Struct
 
@@ -211,37 +212,75 @@ class Transducer:
         return written + (self.end(state) if last is None else last)
 
 
+def utf8_moves() -> list[list[int]]:
+    """By state and byte the next state of the UTF-8 machine, BROKEN where no character goes on so.
+
+    State 0 stands between characters and 1 to 3 wait for as many more bytes. After E0, ED, F0 and F4 the next byte has
+    bounds of its own, which rule out overlong forms, surrogates and numbers above U+10FFFF: these are states 4 to 7.
+    """
+    moves = [[BROKEN] * 256 for _ in range(8)]
+    moves[0][:0x80] = [0] * 0x80
+    for lead in range(0xC2, 0xF5):
+        moves[0][lead] = 1 if lead < 0xE0 else 2 if lead < 0xF0 else 3
+    moves[0][0xE0], moves[0][0xED], moves[0][0xF0], moves[0][0xF4] = 4, 5, 6, 7
+    bounds = {1: (0x80, 0xBF, 0), 2: (0x80, 0xBF, 1), 3: (0x80, 0xBF, 2), 4: (0xA0, 0xBF, 1), 5: (0x80, 0x9F, 1), 6: (0x90, 0xBF, 2), 7: (0x80, 0x8F, 2)}
+    for state, (low, high, after) in bounds.items():
+        moves[state][low : high + 1] = [after] * (high - low + 1)
+    return moves
+
+
+BROKEN = -1
+MOVES = utf8_moves()
+NOT_ASCII = re.compile(rb"[\x80-\xff]+")
+
+
 class Utf8Stream:
-    """Bytes to text, piece by piece; a character that a piece cuts waits for the next one.
+    """Bytes to text, piece by piece, by a machine that reads every byte once; a cut character waits for the next piece.
 
-    The machine's state is how many bytes of the open character are there and how many are to come.
-    Bytes that are no UTF-8 give U+FFFD.
+    It holds a state and the bits of the open character. What is no UTF-8 gives U+FFFD, one for each longest beginning
+    of a character that does not go on. Between characters a run of ASCII leaves the state as it is and is taken whole.
     """
 
     def __init__(self) -> None:
-        self.open = b""
-
-    @staticmethod
-    def unfinished(data: bytes) -> int:
-        """Bytes at the end that begin a character without ending it."""
-        for back in range(1, min(3, len(data)) + 1):
-            byte = data[-back]
-            if byte >= 0xC0:
-                needed = 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4
-                return back if needed > back and byte < 0xF8 else 0
-            if byte < 0x80:
-                return 0
-        return 0
+        self.state, self.bits = 0, 0
 
     def feed(self, data: bytes) -> str:
-        data = self.open + data
-        cut = len(data) - self.unfinished(data)
-        self.open = data[cut:]
-        return data[:cut].decode("utf-8", "replace")
+        out, at = [], 0
+        for run in NOT_ASCII.finditer(data):
+            start, end = run.span()
+            if start > at:
+                out.append(self.close() + data[at:start].decode("ascii"))
+            out.append(self.read(data[start:end]))
+            at = end
+        if at < len(data):
+            out.append(self.close() + data[at:].decode("ascii"))
+        return "".join(out)
+
+    def read(self, data: bytes) -> str:
+        state, bits, out, moves = self.state, self.bits, [], MOVES
+        for byte in data:
+            after = moves[state][byte]
+            if after == BROKEN and state:
+                out.append("\ufffd")
+                state = 0
+                after = moves[0][byte]
+            if after == BROKEN:
+                out.append("\ufffd")
+                after = 0
+            elif state:
+                bits = bits << 6 | byte & 0x3F
+                if not after:
+                    out.append(chr(bits))
+            else:
+                bits = byte & (0x1F if byte < 0xE0 else 0x0F if byte < 0xF0 else 0x07)
+            state = after
+        self.state, self.bits = state, bits
+        return "".join(out)
 
     def close(self) -> str:
-        rest, self.open = self.open, b""
-        return rest.decode("utf-8", "replace")
+        """The end of the text, or an ASCII byte: a character that is still open is broken."""
+        state, self.state = self.state, 0
+        return "\ufffd" if state else ""
 
 
 def decode_bytes(ids: np.ndarray, tokens: list[bytes], at_once: int = 65_536) -> Iterator[bytes]:

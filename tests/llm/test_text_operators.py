@@ -134,6 +134,24 @@ def test_host_rules(odd, none):
     assert judge_documents(none).count() == 0
 
 
+def test_a_bad_host_takes_its_documents_along(spark, tmp_path):
+    import duckdb
+
+    from tabcycle.llm.sql import SQL
+
+    fine = " ".join(f"word{i}" for i in range(80))
+    rows = [(i, "short", f"bad{i % 2}.org") for i in range(40)] + [(100 + i, fine + str(i), f"bad{i % 2}.org") for i in range(6)]
+    rows += [(200 + i, fine + str(i), f"good{i % 9}.org") for i in range(90)] + [(300, "short", "good1.org"), (301, fine, "lone.org"), (302, "x", "lone2.org"), (303, fine, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.id: r.kept for r in judge_documents(docs).collect()}
+    assert not any(got[100 + i] for i in range(6)) and got[200] and got[301] and not got[302]
+    db = duckdb.connect()
+    db.register("documents", docs.toPandas())
+    names = [d[0] for d in db.execute(SQL["op3_host_rules"]).description]
+    assert got == {row[names.index("doc_id")]: row[names.index("kept")] for row in db.execute(SQL["op3_host_rules"]).fetchall()}
+
+
+
 @tables
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")

@@ -52,6 +52,18 @@ def test_stream_holds_cut_characters():
     assert stream.feed(b"a\xe6\x97") + stream.close() == "a�"
 
 
+def test_stream_equals_the_library_on_any_bytes_and_cuts():
+    rng = np.random.default_rng(9)
+    some = [*b"ab \n", 0x80, 0x8F, 0x90, 0x9F, 0xA0, 0xBF, 0xC0, 0xC1, 0xC2, 0xDF, 0xE0, 0xE1, 0xED, 0xEF, 0xF0, 0xF1, 0xF4, 0xF5, 0xFF]
+    texts = [bytes(rng.choice(some, rng.integers(0, 12)).tolist()) for _ in range(20_000)]
+    texts += ["aé日😀z\uffff\U0010ffff߿ࠀ".encode(), bytes(range(256)) * 3]
+    for data in texts:
+        stream = Utf8Stream()
+        cuts = sorted(rng.integers(0, len(data) + 1, 3).tolist())
+        parts = [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)])]
+        assert "".join(map(stream.feed, parts)) + stream.close() == data.decode("utf-8", "replace"), data
+
+
 @pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 5000])
 def test_blocks_round_trip(n):
     rng = np.random.default_rng(n)
