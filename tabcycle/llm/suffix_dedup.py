@@ -5,7 +5,9 @@ each bucket sorts its own by multikey quicksort, and groups that a splitter cuts
 border. Not every suffix is needed: of the 35 places in a 50-byte string where 16 bytes begin, those with
 the least hash are the same in every copy of the string, so it is enough to sort the suffixes that begin at
 such places. Suffixes whose first two tokens stand in one document alone are dropped; the others come back
-with the bytes around them, are sorted again, and show for each 50-byte string the smallest document with it.
+with the bytes around them, are dealt and sorted again, and show for each 50-byte string the smallest document with
+it. Splitters hold a salt of the document too, so a passage that many documents share is dealt over many buckets; for
+such passages buckets tell each other the smallest document of each string.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ AROUND = LEFT + WINDOW
 U = np.uint64
 #: Stands for a null id: smaller than any other.
 NULL_ID = -(1 << 63)
-#: Bytes of text per bucket, bytes in work at one time, and documents that the splitters are drawn from.
+#: Bytes of text per bucket, bytes in work at one time, and documents that the splitters are drawn from: so many at
+#: least, and one for every second bucket, which gives a bucket some ten of the sampled suffixes however many there are.
 BUCKET_BYTES, AT_ONCE, SAMPLE = 16_000_000, 400_000, 2_000
 CODEC = pa.Codec("zstd", compression_level=1)
 
@@ -187,7 +190,7 @@ def splitters_of(rows: DataFrame, documents: int, buckets: int) -> np.ndarray:
                 keys = np.stack([one[keep], two[keep], salt(ids[first + text[keep]])], axis=1)
                 yield pa.RecordBatch.from_pydict({"keys": [keys.tobytes()]})
 
-    share = min(1.0, SAMPLE / max(documents, 1))
+    share = min(1.0, max(SAMPLE, buckets / 2) / max(documents, 1))
     found = rows.sample(share, seed=1).mapInArrow(draw, "keys binary").collect()
     keys = np.concatenate([np.zeros((0, 3), U), *[np.frombuffer(r["keys"], U).reshape(-1, 3) for r in found]])
     keys = np.unique(keys[np.lexsort((keys[:, 2], keys[:, 1], keys[:, 0]))], axis=0)
@@ -323,8 +326,49 @@ def repeated_windows(around: np.ndarray, left: np.ndarray, right: np.ndarray, ow
     return first, last
 
 
+def cut_grams(splitters: np.ndarray, around: np.ndarray) -> np.ndarray:
+    """Which rows have a gram that a splitter cuts, so that other buckets may have it too."""
+    grams = np.ascontiguousarray(around[:, LEFT : LEFT + GRAM]).view(">u8").astype(U)
+    if not len(splitters):
+        return np.zeros(len(grams), bool)
+    # Few rows share their first token with a splitter; only these are compared in full.
+    out = np.isin(grams[:, 0], splitters[:, 0])
+    cut = set(map(tuple, splitters[:, :2].tolist()))
+    some = np.flatnonzero(out)
+    out[some] = [pair in cut for pair in map(tuple, grams[some].tolist())]
+    return out
+
+
+def least_owners(around: np.ndarray, left: np.ndarray, right: np.ndarray, owner: np.ndarray) -> dict[str, list]:
+    """Per place of a window around its gram and per window the smallest document: (nth, window, least)."""
+    out: dict[str, list] = {"nth": [], "window": [], "least": []}
+    for nth in range(PLACES):
+        rows = np.flatnonzero((left >= LEFT - nth) & (right >= WINDOW - LEFT + nth))
+        if len(rows):
+            windows = np.ascontiguousarray(around[rows, nth : nth + WINDOW])
+            # By document, then by window without changing that order: the first of a window is its smallest document.
+            order = np.argsort(owner[rows], kind="stable")
+            order = order[np.argsort(windows[order].view(np.dtype((np.void, WINDOW)))[:, 0], kind="stable")]
+            rows, windows = rows[order], windows[order]
+            new = np.ones(len(rows), bool)
+            new[1:] = (windows[1:] != windows[:-1]).any(axis=1)
+            out["nth"] += [nth] * int(new.sum())
+            out["window"] += [window.tobytes() for window in windows[new]]
+            out["least"] += owner[rows][new].tolist()
+    return out
+
+
+def told_rows(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Windows and their smallest documents elsewhere, as rows that hold this one window each."""
+    nth = table.column("nth").to_numpy().astype(np.int64)
+    around = np.zeros((len(nth), AROUND), np.uint8)
+    windows = np.frombuffer(b"".join(table.column("window").to_pylist()), np.uint8).reshape(len(nth), WINDOW)
+    around[np.arange(len(nth))[:, None], nth[:, None] + np.arange(WINDOW)] = windows
+    return around, (LEFT - nth).astype(np.uint8), (WINDOW - LEFT + nth).astype(np.uint8), table.column("least").to_numpy()
+
+
 def removal_runs(
-    rows: DataFrame, shared: DataFrame, copies: DataFrame, splitters: np.ndarray, parts: int
+    rows: DataFrame, shared: DataFrame, copies: DataFrame, splitters: np.ndarray, parts: int, folder: str
 ) -> DataFrame:
     """(part, blob): runs of bytes (document, start, end) that smaller documents have too; they may overlap."""
     tagged = with_part(rows, parts)
@@ -352,25 +396,67 @@ def removal_runs(
         order, _ = multikey_order([grams[:, 0], grams[:, 1]])
         owner, place, before, after = owner[order], place[order], before[order], after[order]
         around, grams = np.ascontiguousarray(around[order]), grams[order]
-        bucket = bucket_of(splitters, grams[:, 0], grams[:, 1]) if len(splitters) else np.zeros(len(owner), np.int64)
+        bucket = bucket_of(splitters, grams[:, 0], grams[:, 1], salt(owner)) if len(splitters) else np.zeros(len(owner), np.int64)
         # Byte planes would hide that rows in order begin alike, so these go row by row.
         packed = around.view(AROUND_KIND)[:, 0]
         return pa.table(dealt_around(bucket, packed, owner, place, before, after), schema=DEALT_FIELDS)
 
     around = tagged.groupBy("part").cogroup(extra.groupBy("part")).applyInArrow(cut, DEALT)
 
-    def resolve(table: pa.Table) -> pa.Table:
+    def read_rows(table: pa.Table) -> tuple[np.ndarray, ...]:
         made = [read_around(blob) for blob in table.column("blob").to_pylist()]
         around, owner, place, before, after = (np.concatenate(c) for c in zip(*made, strict=True))
-        around = np.frombuffer(around.tobytes(), np.uint8).reshape(-1, AROUND)
+        return np.frombuffer(around.tobytes(), np.uint8).reshape(-1, AROUND), owner, place, before, after
+
+    def runs_of(around: np.ndarray, owner: np.ndarray, place: np.ndarray, before: np.ndarray, after: np.ndarray, told: tuple | None = None) -> dict:
+        n = len(owner)
+        if told:
+            around, before, after, owner = (np.concatenate(pair) for pair in zip((around, before, after, owner), told, strict=True))
         first, last = repeated_windows(around, before, after, owner)
-        hit = np.flatnonzero(first >= 0)
+        hit = np.flatnonzero(first[:n] >= 0)
         start = place[hit].astype(np.int64) - LEFT + first[hit]
         end = place[hit].astype(np.int64) - LEFT + last[hit] + WINDOW
-        columns = (owner[hit], start.astype(np.uint32), end.astype(np.uint32))
-        return pa.table(dealt(document_part(owner[hit], parts), *columns), schema=DEALT_FIELDS)
+        return dealt(document_part(owner[hit], parts), owner[hit], start.astype(np.uint32), end.astype(np.uint32))
+
+    fields = arrow_fields("part int, blob binary, open boolean")
+
+    def resolve(table: pa.Table) -> pa.Table:
+        """Runs of grams that lie in this bucket alone; the rows of the others as they are, marked as open."""
+        bucket = table.column("part")[0].as_py()
+        around, *columns = read_rows(table)
+        cut = cut_grams(splitters, around)
+        out = runs_of(around[~cut], *[c[~cut] for c in columns])
+        out["open"] = [False] * len(out["part"])
+        if cut.any():
+            rest = np.ascontiguousarray(around[cut]).view(AROUND_KIND)[:, 0]
+            held = dealt_around(np.full(len(rest), bucket), rest, *[c[cut] for c in columns])
+            out = {name: out[name] + held[name] for name in ("part", "blob")} | {"open": out["open"] + [True] * len(held["part"])}
+        return pa.table(out, schema=fields)
+
+    schema = "part int, blob binary, open boolean"
+    first = stored(around.groupBy("part").applyInArrow(resolve, schema), f"{folder}/resolved")
+    held = first.filter("open").select("part", "blob")
+
+    def least(table: pa.Table) -> pa.Table:
+        around, owner, _, before, after = read_rows(table)
+        out = least_owners(around, before, after, owner)
+        return pa.table({"part": [table.column("part")[0].as_py()] * len(out["nth"])} | out, schema=told_fields)
+
+    told_schema = "part int, nth int, window binary, least bigint"
+    told_fields = arrow_fields(told_schema)
+    partial = stored(held.groupBy("part").applyInArrow(least, told_schema), f"{folder}/least")
+    # One row per window and bucket that has it: far fewer than the places where it stands.
+    minima = partial.groupBy("nth", "window").agg(F.min("least").alias("all"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    told = partial.join(minima, ["nth", "window"]).filter("least > all").select("part", "nth", "window", F.col("all").alias("least"))
+
+    def settle(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.table({"part": [], "blob": []}, schema=DEALT_FIELDS)
+        around, owner, place, before, after = read_rows(left)
+        return pa.table(runs_of(around, owner, place, before, after, told_rows(right) if right.num_rows else None), schema=DEALT_FIELDS)
 
-    return around.groupBy("part").applyInArrow(resolve, DEALT)
+    settled = held.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(settle, DEALT)
+    return first.filter("NOT open").select("part", "blob").union(settled)
 
 
 def dealt_around(part: np.ndarray, around: np.ndarray, *columns: np.ndarray) -> dict:
@@ -464,7 +550,7 @@ def drop_repeats(
     copies = stored(copies, f"{folder}/copies")
     splitters = splitters_of(rows, total["n"], parts)
     found = stored(shared_suffixes(rows, splitters, parts), f"{folder}/shared")
-    runs = stored(removal_runs(rows, across_borders(found), copies, splitters, parts), f"{folder}/runs")
+    runs = stored(removal_runs(rows, across_borders(found), copies, splitters, parts, folder), f"{folder}/runs")
     extra = runs.union(copies_blobs(copies, parts))
     schema = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     if with_text:

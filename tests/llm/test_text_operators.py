@@ -50,6 +50,26 @@ def test_suffix_dedup_equals_brute_force(spark):
     same_as_covered(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
 
 
+def test_a_passage_dealt_over_many_buckets(spark, monkeypatch):
+    """A passage in most documents, cut by salted splitters; buckets of a few kilobytes."""
+    import random
+
+    from tabcycle.llm import suffix_dedup
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    hot, warm = text(14), [text(12) for _ in range(4)]
+    rows = [(i * 7 % 401, " ".join([text(rng.randint(0, 12)), hot if i % 3 else rng.choice(warm), text(rng.randint(0, 9))])) for i in range(400)]
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 2_000)
+    dealt_out = []
+    real = suffix_dedup.splitters_of
+    monkeypatch.setattr(suffix_dedup, "splitters_of", lambda *a: dealt_out.append(real(*a)) or dealt_out[-1])
+    same_as_covered(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    grams = Counter(map(tuple, dealt_out[0][:, :2].tolist()))
+    assert grams.most_common(1)[0][1] > 1, "no gram was cut by two splitters"
+
+
 def test_multikey_order_and_runs():
     rng = np.random.default_rng(3)
     columns = [rng.integers(0, 4, 500).astype(np.uint64) for _ in range(3)]
