@@ -123,7 +123,7 @@ def test_token_files_hold_the_ids_of_the_library(spark):
     assert got == want
 
 
-def test_copies_changed_in_places_of_their_own(spark, monkeypatch):
+def test_copies_changed_in_places_of_their_own(spark):
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(5))
     rows = []
@@ -137,8 +137,6 @@ def test_copies_changed_in_places_of_their_own(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = near_classes(rows)
     assert {r.id: r.component for r in near_documents(docs).collect()} == want
-    monkeypatch.setattr("tabcycle.llm.near_docs.LARGE", 2)
-    assert {r.id: r.component for r in near_documents(docs).collect()} == want
 
 
 def test_texts_are_worked_on_some_at_a_time():
