@@ -22,6 +22,8 @@ HEADLINES = [
     "ordinal_priority",
     "regex_all",
     "split_orders",
+    "split_orders_exactly",
+    "wide_one_hot",
     "apply_cutoff",
     "model_scores_log",
     "roc_auc_scores",
@@ -34,9 +36,11 @@ HEADLINES = [
     "chi_square",
     "f_test",
     "feature_log",
+    "chi_square_wide",
+    "saved_model",
     "experiment",
 ]
-ONCE = {"experiment"}
+ONCE = {"saved_model", "experiment"}
 
 
 def run(spark: SparkSession, name: str, sf_dir: str) -> float:
