@@ -28,9 +28,8 @@ SEED = 77
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 U = np.uint64
-#: Pairs that one band may ask for in the first round, and by what power of two this grows from round to round:
-#: early rounds join most of a band at little cost, and what they leave takes few more rounds, whatever its size.
-PAIRS, GROWTH = 16_384, 3
+#: Members of a group that are compared all with all.
+FEW = 8
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -251,11 +250,14 @@ def near_documents(
     class only by their texts. Texts without words are linked by equality alone.
 
     A band is first cut by the weight of the sets: similar sets have weights in the same or in neighbouring
-    classes, so each set is a member of its own class and the next. Members are not compared all with all:
-    every round a band picks pivots outside its largest component (one in the first round, more in each later
-    one), and each meets the members outside its own component. A band is done when it has one component or
-    all members outside the largest have been pivots, so no link between components is lost. A band whose
-    members share samples without being linked is thus compared pair by pair in the end.
+    classes, so each set is a member of its own class and the next. A group of few members is compared pair by pair. In
+    a larger one all meet a pivot p, a member whose shingles are the most frequent ones. Let E(x) be the weight by which x
+    and p differ (its edits) and W the weight of a set. x and y are linked if they differ by at most d * (W(x) + W(y)),
+    d = (1 - least) / (1 + least). Both linked to p: they are in one component. If y is not linked to p, then E(y) > d * (W(y) +
+    W(p)), and the edits that x and y have in common weigh at least (E(x) + E(y) - d * (W(x) + W(y))) / 2, which is more than
+    (E(x) + d * (W(p) - W(x))) / 2. So one of them is among the leading edits of x, those before the rest weighs that
+    little; if x is not linked to p either, one is a leading edit of both. Pairs with such an edit in common, and enough
+    weight from it on, are compared. So no link between components is lost, and those who only share samples are not compared.
     """
     folder = folder or work_folder(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -301,89 +303,137 @@ def band_members(banded: DataFrame) -> DataFrame:
     return banded.join(shared, "key").select("key", "id", "n")
 
 
+def edits(
+    own: tuple[np.ndarray, np.ndarray], pivot: tuple[np.ndarray, np.ndarray], idf: np.ndarray, often: np.ndarray, least: float
+) -> tuple[np.ndarray, np.ndarray, int, float]:
+    """Tokens of what tells a set from a pivot, seldom ones first; the weight from each token on; how many tokens
+    `near_documents` calls leading; and E - d * W of the set.
+
+    A token is a shingle and whether the set has more or less of it. More of a shingle that stands in one document alone
+    can be no common edit: it counts in E and has no token.
+    """
+    hashes = np.union1d(own[0], pivot[0])
+    weight = idf[slots(hashes)].astype(np.float64)
+    more = np.zeros(len(hashes))
+    more[np.searchsorted(hashes, own[0])] += own[1]
+    of_own = float((more * weight).sum())
+    more[np.searchsorted(hashes, pivot[0])] -= pivot[1]
+    far = np.abs(more) * weight
+    changed = np.flatnonzero(more)
+    count = often[slots(hashes[changed])]
+    less = more[changed] < 0
+    order = np.lexsort((hashes[changed], np.where(less, -count, count), less))
+    changed, count, less = changed[order], count[order], less[order]
+    total, share = float(far.sum()), (1 - least) / (1 + least)
+    of_pivot = of_own - float((more * weight).sum())
+    # What rounding may take.
+    spare = 1e-6 * (of_own + of_pivot)
+    common = (total + share * (of_pivot - of_own)) / 2 - spare
+    leading = np.cumsum(far[changed][::-1])[::-1] > common
+    shown = less | (count > 1)
+    leading, changed, less = leading[shown], changed[shown], less[shown]
+    tokens = mix(hashes[changed] ^ np.where(less, U(0x5851F42D4C957F2D), U(0)))
+    rest = np.cumsum(far[changed][::-1])[::-1]
+    return tokens.view(np.int64), rest, int(leading.sum()), total - share * of_own - spare
+
+
+
 def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, kind: str, folder: str) -> DataFrame:
     """(node, component) of the documents with links."""
     spark = rows.sparkSession
     some = rows.join(members.select("id").distinct(), "id", "left_semi")
+    often, _ = document_frequencies(some, f"{folder}/often")
 
     def weigh(batch: pa.RecordBatch) -> dict:
         sets = [one for part in parts(texts_of(batch)) for one in shingle_sets(part)]
+        weights = [counts * idf[slots(hashes)].astype(np.float64) for hashes, counts in sets]
         return {
             "id": batch.column(0),
             "hashes": [hashes.tobytes() for hashes, _ in sets],
             "counts": [counts.astype("<u4").tobytes() if counts.max(initial=0) > 1 else b"" for _, counts in sets],
+            "central": [
+                float((weight * np.log(often[slots(hashes)])).sum() / max(weight.sum(), 1e-9))
+                for (hashes, _), weight in zip(sets, weights, strict=True)
+            ],
         }
 
     vectors = stored(
-        arrow_map(some.select("id", "text"), f"id {kind}, hashes binary, counts binary", weigh), f"{folder}/vectors"
+        arrow_map(some.select("id", "text"), f"id {kind}, hashes binary, counts binary, central double", weigh),
+        f"{folder}/vectors",
     )
-
     def verify(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"a": [], "b": []}
-        columns = [batch.column(n).to_pylist() for n in range(6)]
-        for a, b, ha, ca, hb, cb in zip(*columns, strict=True):
+        out: dict[str, list] = {"a": [], "b": [], "near": [], "tokens": [], "rest": [], "leading": [], "slack": []}
+        columns = [batch.column(n).to_pylist() for n in range(7)]
+        for a, b, star, ha, ca, hb, cb in zip(*columns, strict=True):
             x, y = np.frombuffer(ha, U), np.frombuffer(hb, U)
             nx = np.frombuffer(ca, "<u4") if ca else np.ones(len(x))
             ny = np.frombuffer(cb, "<u4") if cb else np.ones(len(y))
-            if similarity(x, nx, y, ny, idf) >= least:
-                out["a"].append(a)
-                out["b"].append(b)
+            near = similarity(x, nx, y, ny, idf) >= least
+            if near or star:
+                told = ([], [], 0, 0.0)
+                if star:
+                    tokens, rest, leading, slack = edits((y, ny), (x, nx), idf, often, least)
+                    # Of those near the pivot only leading edits are asked for.
+                    told = (tokens[:leading], rest[:leading], leading, slack) if near else (tokens, rest, leading, slack)
+                for name, value in zip(out, (a, b, near, *told), strict=True):
+                    out[name].append(value)
         return out
 
-    def of_rounds(last: int, name: str, schema: str) -> DataFrame:
-        """What the rounds so far have written under a name."""
-        paths = [f"{folder}/round-{nth}/{name}" for nth in range(last)]
-        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-
-    named = spark.createDataFrame([], f"node {kind}, component {kind}")
-    step = 0
-    while True:
-        met = of_rounds(step, "pairs", f"a {kind}, b {kind}")
-        pivots = of_rounds(step, "pivots", f"key bigint, id {kind}, own {kind}").select("key", "id", F.lit(True).alias("was"))
-        at = f"{folder}/round-{step}"
-        placed = (
-            members.join(named, members.id == named.node, "left")
-            .join(pivots, ["key", "id"], "left")
-            .select("key", "id", "n", F.coalesce("component", "id").alias("c"), F.col("was").isNull().alias("new"))
-        )
-        parts_of = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
-        largest = parts_of.groupBy("key").agg(F.max(F.struct("size", "c")).alias("main"), F.count(F.lit(1)).alias("parts"))
-        # Only bands with several components go on.
-        placed = stored(
-            placed.join(largest.filter("parts > 1"), "key").select("key", "id", "n", "c", "new", F.col("main.c").alias("main")),
-            f"{at}/placed",
-        )
-        at_once = F.ceil(F.lit(PAIRS << (GROWTH * step)) / F.col("n"))
-        slices = F.when(at_once >= F.col("n"), F.xxhash64("id")).otherwise(
-            F.abs(F.xxhash64("id")) % (at_once if step else F.lit(1))
-        )
-        chosen = (
-            placed.filter("new AND c <> main")
-            .groupBy("key", slices.alias("slice"))
-            .agg(F.min(F.struct("id", "c")).alias("p"))
-            .select("key", "p.id", F.col("p.c").alias("own"))
-        )
-        chosen = stored(chosen, f"{at}/pivots")
-        if not chosen.limit(1).count():
-            return named
-        pairs = (
-            placed.join(chosen.withColumnRenamed("id", "pivot"), "key")
-            .filter("c <> own")
-            .select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
-            .distinct()
-        )
-        pairs = stored(pairs.join(met, ["a", "b"], "left_anti"), f"{at}/pairs")
-        known = vectors
+    def verified(pairs: DataFrame, at: str) -> DataFrame:
+        """Links among pairs (a, b, star), and what every b of a star has that its pivot a has not."""
+        pairs = stored(pairs, f"{at}/pairs")
+        known = vectors.drop("central")
         if pairs.count() <= 20_000:
             # Few pairs, at most twice as many ids: reading their vectors needs no shuffle of the others.
             ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-            known = vectors.join(F.broadcast(ids), "id", "left_semi")
+            known = known.join(F.broadcast(ids), "id", "left_semi")
         left = known.select(F.col("id").alias("a"), F.col("hashes").alias("ha"), F.col("counts").alias("ca"))
         right = known.select(F.col("id").alias("b"), F.col("hashes").alias("hb"), F.col("counts").alias("cb"))
-        full = pairs.join(right, "b").join(left, "a").select("a", "b", "ha", "ca", "hb", "cb")
-        found = stored(arrow_map(full, f"a {kind}, b {kind}", verify), f"{at}/links")
-        if found.limit(1).count():
-            # What was joined before stands as stars, so the graph stays as small as its nodes and as shallow.
-            stars = named.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            named = components(stars.union(found), f"{at}/graph")
-        step += 1
+        full = pairs.join(right, "b").join(left, "a").select("a", "b", "star", "ha", "ca", "hb", "cb")
+        schema = f"a {kind}, b {kind}, near boolean, tokens array<bigint>, rest array<double>, leading int, slack double"
+        return stored(arrow_map(full, schema, verify), f"{at}/found")
+
+    first = verified(star_pairs(members.join(vectors.select("id", "central"), "id")), f"{folder}/stars")
+    links = first.filter("near").select("a", "b")
+    named = components(links, f"{folder}/stars/graph")
+    pairs = edit_pairs(first, named).withColumn("star", F.lit(False))
+    more = verified(pairs, f"{folder}/edits").filter("near").select("a", "b")
+    if not more.limit(1).count():
+        return named
+    # What was joined before stands as stars, so the graph stays as small as its nodes and as shallow.
+    joined = named.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(joined.union(more), f"{folder}/edits/graph")
+
+
+def star_pairs(members: DataFrame) -> DataFrame:
+    """(a, b, star) from (key, id, n, central): all pairs of small groups, and a pivot with each other member of large ones."""
+    few, many = members.filter(F.col("n") <= FEW), members.filter(F.col("n") > FEW)
+    one, other = few.select("key", F.col("id").alias("a")), few.select("key", F.col("id").alias("b"))
+    direct = one.join(other, "key").filter("a < b").select("a", "b", F.lit(False).alias("star"))
+    pivots = many.groupBy("key").agg(F.max(F.struct("central", "id")).alias("p")).select("key", F.col("p.id").alias("a"))
+    stars = many.join(pivots, "key").filter("id <> a").select("a", F.col("id").alias("b"), F.lit(True).alias("star"))
+    return direct.union(stars).distinct()
+
+
+def edit_pairs(found: DataFrame, named: DataFrame) -> DataFrame:
+    """(a, b) of different components that can be linked by the edits they share: leading ones, of enough weight.
+
+    The edits that two documents share weigh no more than what either has from the first of these on, and that has to
+    reach half of what their slacks add up to.
+    """
+    around = found.filter("NOT near AND size(tokens) > 0").select("a").distinct()
+    placed = found.join(around, "a", "left_semi").join(named, F.col("b") == F.col("node"), "left")
+    edit = F.arrays_zip("tokens", "rest")
+    rows = placed.select("a", "b", "near", "leading", "slack", F.coalesce("component", "b").alias("c"), F.posexplode(edit))
+    rows = rows.select(
+        F.xxhash64("a", "col.tokens").alias("key"), F.col("b").alias("id"), "near", (F.col("pos") < F.col("leading")).alias("leads"),
+        "c", "slack", F.col("col.rest").alias("rest"),
+    )
+    # A key without a leading edit, or in one document alone, makes no pair.
+    asked = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("leads").alias("led"), F.min("near").alias("near"))
+    rows = rows.join(asked.filter("n > 1 AND led AND NOT near").select("key"), "key")
+    one = rows.filter("leads")
+    other = rows.filter("NOT near").select(*[F.col(n).alias(f"{n}2") for n in ("key", "id", "leads", "c", "slack", "rest")])
+    can = (F.col("key") == F.col("key2")) & (F.col("c") != F.col("c2")) & (F.col("near") | (F.col("leads2") & (F.col("id") < F.col("id2"))))
+    can &= 2 * F.least("rest", "rest2") >= F.col("slack") + F.col("slack2")
+    return one.join(other, can).select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()

@@ -1,6 +1,7 @@
 """Dedup, rules, mixing and language ID against brute force, on odd rows and on no rows."""
 
 import hashlib
+import random
 from collections import Counter
 from pathlib import Path
 
@@ -253,3 +254,18 @@ def test_leaf_pairs_are_all_that_lie_near(case):
     a, b = tree.leaf_pairs(radii, reach)
     found = set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
     assert found == set(zip(x.tolist(), y.tolist(), strict=True)) and len(found) == len(a)
+
+
+def test_copies_below_the_limit_are_not_compared_pair_by_pair(spark, tmp_path):
+    """A large group whose members share samples, and are mostly no links: as brute force, by few comparisons."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    rows = [(n, " ".join(f"x{rng.randrange(40)}" if rng.random() < 0.02 else word for word in base)) for n in range(400)]
+    # Two far ones that are linked to each other alone: by words they both lack and by words they both have.
+    odd = base[:20] + [f"y{n}" for n in range(9)] + base[35:]
+    rows += [(400, " ".join(odd)), (401, " ".join([*odd, "z"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.component for r in near_documents(docs, folder=str(tmp_path)).collect()}
+    assert got == near_classes(rows) and got[401] == 400
+    compared = sum(spark.read.parquet(str(path)).count() for path in tmp_path.glob("*/pairs"))
+    assert 0 < compared < 20 * len(rows)
