@@ -33,7 +33,8 @@ def chi_square_scores(df: DataFrame, features: Sequence[str], label: str) -> Dat
     totals = by_label.groupBy("feature").agg(F.sum("of_label").alias("total"), F.count("*").alias("labels"))
     of_value = F.sum("n").over(Window.partitionBy("feature", "value"))
     expected = F.col("of_value").cast("double") * F.col("of_label") / F.col("total")
-    seen = cells.withColumn("of_value", of_value).join(by_label, ["feature", "__label"]).join(totals, "feature")
+    # One row per feature. Joined by a shuffle, all cells of a feature would go to one task.
+    seen = cells.withColumn("of_value", of_value).join(by_label, ["feature", "__label"]).join(F.broadcast(totals), "feature")
     unseen = F.first("of_value").cast("double") * (F.first("total") - F.sum("of_label")) / F.first("total")
     per_value = seen.groupBy("feature", "value").agg(
         (F.sum((F.col("n") - expected) * (F.col("n") - expected) / expected) + unseen).alias("part"),

@@ -1,6 +1,7 @@
 """Exact splits, wide encoding, idempotent logs, tails of many degrees of freedom."""
 
 import math
+import re
 from collections import Counter
 from decimal import Decimal, getcontext
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tabcycle.functions.tails import chi_square_tail
 from tabcycle.operators.split import kth_draws, stratified_split
 from tabcycle.operators.wide_encoder import WideOneHot, WideOneHotModel
+from tabcycle.plans.feature_scores import chi_square_scores
 from tabcycle.schemas import FEATURE_LOG
 from tabcycle.sources import tables
 
@@ -136,3 +138,18 @@ def test_chi_square_tail_of_odd_degrees_goes_on_smoothly(spark):
         logs = [math.log(tails[d, z]) for d in range(121, 137)]
         # The third differences are some 4e-6 and change slowly; a step between the two formulas would stand out.
         assert np.abs(np.diff(logs, 4)).max() < 2e-7
+
+
+def test_chi_square_does_not_deal_cells_by_feature_alone(spark):
+    rows = spark.range(1000).selectExpr("id % 50 AS a", "id % 7 AS b", "id % 3 AS y")
+    names = ["spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"]
+    old = {name: spark.conf.get(name) for name in names}
+    try:
+        # As the plan stands before any size is known.
+        for name, value in zip(names, ("false", "-1"), strict=True):
+            spark.conf.set(name, value)
+        plan = chi_square_scores(rows, ["a", "b"], "y")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    assert not re.search(r"SortMergeJoin \[feature#\d+\]", plan) and "BroadcastHashJoin [feature#" in plan
