@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabcycle.llm.common import arrow_map, components, parts, stored, texts_of, work_folder, worker_tables
@@ -253,11 +253,14 @@ def near_documents(
     classes, so each set is a member of its own class and the next. A group of few members is compared pair by pair. In
     a larger one all meet a pivot p, a member whose shingles are the most frequent ones. Let E(x) be the weight by which x
     and p differ (its edits) and W the weight of a set. x and y are linked if they differ by at most d * (W(x) + W(y)),
-    d = (1 - least) / (1 + least). Both linked to p: they are in one component. If y is not linked to p, then E(y) > d * (W(y) +
+    d = (1 - least) / (1 + least). Both linked to p: they are in one component. If only x is linked to p, then E(y) > d * (W(y) +
     W(p)), and the edits that x and y have in common weigh at least (E(x) + E(y) - d * (W(x) + W(y))) / 2, which is more than
     (E(x) + d * (W(p) - W(x))) / 2. So one of them is among the leading edits of x, those before the rest weighs that
-    little; if x is not linked to p either, one is a leading edit of both. Pairs with such an edit in common, and enough
-    weight from it on, are compared. So no link between components is lost, and those who only share samples are not compared.
+    little. Differences are a metric: E(y) - d * W(y) is at most E(x) + d * W(x), so a y farther away has no such x. If
+    neither is linked to p, what x and y have in common weighs at least least * W(x) and least * W(y), so with the
+    shingles in one order, seldom ones first, the first common one is where the rest of each still weighs that much. Pairs with such
+    an edit or shingle in common, and enough weight from it on, are compared. So no link between components is lost, and those
+    who only share samples are not compared.
     """
     folder = folder or work_folder(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -305,12 +308,13 @@ def band_members(banded: DataFrame) -> DataFrame:
 
 def edits(
     own: tuple[np.ndarray, np.ndarray], pivot: tuple[np.ndarray, np.ndarray], idf: np.ndarray, often: np.ndarray, least: float
-) -> tuple[np.ndarray, np.ndarray, int, float]:
+) -> tuple[np.ndarray, np.ndarray, int, float, float]:
     """Tokens of what tells a set from a pivot, seldom ones first; the weight from each token on; how many tokens
-    `near_documents` calls leading; and E - d * W of the set.
+    `near_documents` calls leading; E - d * W and E + d * W of the set.
 
     A token is a shingle and whether the set has more or less of it. More of a shingle that stands in one document alone
-    can be no common edit: it counts in E and has no token.
+    can be no common edit: it counts in E and has no token. A set too far away to be linked to any that is linked to the
+    pivot has no tokens.
     """
     hashes = np.union1d(own[0], pivot[0])
     weight = idf[slots(hashes)].astype(np.float64)
@@ -319,24 +323,42 @@ def edits(
     of_own = float((more * weight).sum())
     more[np.searchsorted(hashes, pivot[0])] -= pivot[1]
     far = np.abs(more) * weight
+    total, share = float(far.sum()), (1 - least) / (1 + least)
+    of_pivot = of_own - float((more * weight).sum())
+    # What rounding may take.
+    spare = 1e-6 * (of_own + of_pivot)
+    slack, reach = total - share * of_own - spare, total + share * of_own + spare
+    if slack > share * (of_pivot + 2 * min(of_own, of_pivot) / least) + spare:
+        return np.zeros(0, np.int64), np.zeros(0), 0, slack, reach
     changed = np.flatnonzero(more)
     count = often[slots(hashes[changed])]
     less = more[changed] < 0
     order = np.lexsort((hashes[changed], np.where(less, -count, count), less))
     changed, count, less = changed[order], count[order], less[order]
-    total, share = float(far.sum()), (1 - least) / (1 + least)
-    of_pivot = of_own - float((more * weight).sum())
-    # What rounding may take.
-    spare = 1e-6 * (of_own + of_pivot)
     common = (total + share * (of_pivot - of_own)) / 2 - spare
     leading = np.cumsum(far[changed][::-1])[::-1] > common
     shown = less | (count > 1)
     leading, changed, less = leading[shown], changed[shown], less[shown]
     tokens = mix(hashes[changed] ^ np.where(less, U(0x5851F42D4C957F2D), U(0)))
     rest = np.cumsum(far[changed][::-1])[::-1]
-    return tokens.view(np.int64), rest, int(leading.sum()), total - share * of_own - spare
+    return tokens.view(np.int64), rest, int(leading.sum()), slack, reach
 
 
+def leading_shingles(
+    hashes: np.ndarray, counts: np.ndarray, idf: np.ndarray, often: np.ndarray, least: float
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Shingles of a set, seldom ones first, while what it holds from there on weighs `least` of it; that weight; the set's.
+
+    Shingles of one document alone weigh, but are not told.
+    """
+    own = counts * idf[slots(hashes)].astype(np.float64)
+    count = often[slots(hashes)]
+    order = np.lexsort((hashes, count))
+    rest = np.cumsum(own[order][::-1])[::-1]
+    total = float(own.sum())
+    told = (rest >= least * total * (1 - 1e-6)) & (count[order] > 1)
+    return hashes[order][told].view(np.int64), rest[told], total
+
 
 def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, kind: str, folder: str) -> DataFrame:
     """(node, component) of the documents with links."""
@@ -362,7 +384,7 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
         f"{folder}/vectors",
     )
     def verify(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"a": [], "b": [], "near": [], "tokens": [], "rest": [], "leading": [], "slack": []}
+        out: dict[str, list] = {"a": [], "b": [], "near": [], "tokens": [], "rest": [], "slack": [], "reach": []}
         columns = [batch.column(n).to_pylist() for n in range(7)]
         for a, b, star, ha, ca, hb, cb in zip(*columns, strict=True):
             x, y = np.frombuffer(ha, U), np.frombuffer(hb, U)
@@ -370,11 +392,11 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
             ny = np.frombuffer(cb, "<u4") if cb else np.ones(len(y))
             near = similarity(x, nx, y, ny, idf) >= least
             if near or star:
-                told = ([], [], 0, 0.0)
+                told = ([], [], None, None)
                 if star:
-                    tokens, rest, leading, slack = edits((y, ny), (x, nx), idf, often, least)
+                    tokens, rest, leading, *bounds = edits((y, ny), (x, nx), idf, often, least)
                     # Of those near the pivot only leading edits are asked for.
-                    told = (tokens[:leading], rest[:leading], leading, slack) if near else (tokens, rest, leading, slack)
+                    told = (tokens[:leading], rest[:leading], *bounds) if near else (tokens, rest, *bounds)
                 for name, value in zip(out, (a, b, near, *told), strict=True):
                     out[name].append(value)
         return out
@@ -390,13 +412,27 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
         left = known.select(F.col("id").alias("a"), F.col("hashes").alias("ha"), F.col("counts").alias("ca"))
         right = known.select(F.col("id").alias("b"), F.col("hashes").alias("hb"), F.col("counts").alias("cb"))
         full = pairs.join(right, "b").join(left, "a").select("a", "b", "star", "ha", "ca", "hb", "cb")
-        schema = f"a {kind}, b {kind}, near boolean, tokens array<bigint>, rest array<double>, leading int, slack double"
+        schema = f"a {kind}, b {kind}, near boolean, tokens array<bigint>, rest array<double>, slack double, reach double"
         return stored(arrow_map(full, schema, verify), f"{at}/found")
 
     first = verified(star_pairs(members.join(vectors.select("id", "central"), "id")), f"{folder}/stars")
     links = first.filter("near").select("a", "b")
     named = components(links, f"{folder}/stars/graph")
-    pairs = edit_pairs(first, named).withColumn("star", F.lit(False))
+    far = first.filter("NOT near").groupBy(F.col("b").alias("id")).agg(F.collect_set("a").alias("stars"))
+
+    def lead(batch: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {"shingles": [], "rest": [], "weight": []}
+        for held, many in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            hashes = np.frombuffer(held, U)
+            counts = np.frombuffer(many, "<u4") if many else np.ones(len(hashes))
+            for name, value in zip(out, leading_shingles(hashes, counts, idf, often, least), strict=True):
+                out[name].append(value)
+        return {"id": batch.column(0), "stars": batch.column(1)} | out
+
+    sets = vectors.join(far, "id").select("id", "stars", "hashes", "counts")
+    schema = f"id {kind}, stars array<{kind}>, shingles array<bigint>, rest array<double>, weight double"
+    leads = stored(arrow_map(sets, schema, lead), f"{folder}/leads")
+    pairs = edit_pairs(first, named).union(shingle_pairs(leads, named, least)).distinct().withColumn("star", F.lit(False))
     more = verified(pairs, f"{folder}/edits").filter("near").select("a", "b")
     if not more.limit(1).count():
         return named
@@ -416,24 +452,44 @@ def star_pairs(members: DataFrame) -> DataFrame:
 
 
 def edit_pairs(found: DataFrame, named: DataFrame) -> DataFrame:
-    """(a, b) of different components that can be linked by the edits they share: leading ones, of enough weight.
+    """(a, b) of different components, one linked to a pivot and one not, that can be linked by the edits they share.
 
     The edits that two documents share weigh no more than what either has from the first of these on, and that has to
     reach half of what their slacks add up to.
     """
-    around = found.filter("NOT near AND size(tokens) > 0").select("a").distinct()
-    placed = found.join(around, "a", "left_semi").join(named, F.col("b") == F.col("node"), "left")
-    edit = F.arrays_zip("tokens", "rest")
-    rows = placed.select("a", "b", "near", "leading", "slack", F.coalesce("component", "b").alias("c"), F.posexplode(edit))
-    rows = rows.select(
-        F.xxhash64("a", "col.tokens").alias("key"), F.col("b").alias("id"), "near", (F.col("pos") < F.col("leading")).alias("leads"),
-        "c", "slack", F.col("col.rest").alias("rest"),
+    bounds = found.filter("near").groupBy("a").agg(F.max("reach").alias("farthest"), F.min("slack").alias("lowest"))
+    far = found.filter("NOT near AND size(tokens) > 0").join(bounds, "a").filter("slack <= farthest")
+    # All that are linked to a pivot are of its component.
+    far = far.join(named.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a")
+    far = far.join(named.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b", "left")
+    far = far.filter("of_b IS NULL OR of_b <> of_a")
+    shared = F.filter(F.arrays_zip("tokens", "rest"), lambda e: 2 * e["rest"] >= F.col("slack") + F.col("lowest"))
+
+    def spread(rows: DataFrame, edit: Column, mark: str) -> DataFrame:
+        rows = rows.select("a", "b", "slack", F.explode(edit).alias("e"))
+        named = {"key": F.xxhash64("a", "e.tokens"), "id": F.col("b"), "slack": F.col("slack"), "rest": F.col("e.rest")}
+        return rows.select(*[value.alias(f"{name}{mark}") for name, value in named.items()])
+
+    near = found.filter("near").join(far.select("a").distinct(), "a", "left_semi")
+    can = (F.col("key") == F.col("key2")) & (2 * F.least("rest", "rest2") >= F.col("slack") + F.col("slack2"))
+    pairs = spread(near, F.arrays_zip("tokens", "rest"), "").join(spread(far, shared, "2"), can)
+    return pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
+
+
+def shingle_pairs(leads: DataFrame, named: DataFrame, least: float) -> DataFrame:
+    """(a, b) of different components, both not linked to a pivot that they met, with a leading shingle in common.
+
+    What two linked sets have in common weighs no more than what either holds from the first common shingle on.
+    """
+    rows = leads.join(named, F.col("id") == F.col("node"), "left").select(
+        "id", "stars", "weight", F.coalesce("component", "id").alias("c"), F.explode(F.arrays_zip("shingles", "rest")).alias("e")
     )
-    # A key without a leading edit, or in one document alone, makes no pair.
-    asked = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("leads").alias("led"), F.min("near").alias("near"))
-    rows = rows.join(asked.filter("n > 1 AND led AND NOT near").select("key"), "key")
-    one = rows.filter("leads")
-    other = rows.filter("NOT near").select(*[F.col(n).alias(f"{n}2") for n in ("key", "id", "leads", "c", "slack", "rest")])
-    can = (F.col("key") == F.col("key2")) & (F.col("c") != F.col("c2")) & (F.col("near") | (F.col("leads2") & (F.col("id") < F.col("id2"))))
-    can &= 2 * F.least("rest", "rest2") >= F.col("slack") + F.col("slack2")
-    return one.join(other, can).select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+    rows = rows.select(F.col("e.shingles").alias("key"), "id", "stars", "weight", "c", F.col("e.rest").alias("rest"))
+    # A shingle of one component alone makes no pair.
+    asked = rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
+    one = rows.join(asked, "key")
+    other = one.select(*[F.col(n).alias(f"{n}2") for n in one.columns])
+    can = (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.col("c") != F.col("c2"))
+    can &= F.least("rest", "rest2") >= (F.col("weight") + F.col("weight2")) * (least / (1 + least) * (1 - 1e-6))
+    can &= F.arrays_overlap("stars", "stars2")
+    return one.join(other, can).select(F.col("id").alias("a"), F.col("id2").alias("b"))
