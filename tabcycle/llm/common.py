@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -48,6 +50,8 @@ def arrow_map(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict]
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(each(batch), schema=fields)
+        batch = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -68,10 +72,25 @@ def worker_tables(operator: str) -> dict:
     """
     if operator not in _TABLES:
         _TABLES.clear()
+        gc.collect()
+        give_back()
         _TABLES[operator] = {}
     return _TABLES[operator]
 
 
+def give_back() -> None:
+    """Give freed memory back to the system.
+
+    Allocators keep what a large batch took for the next one, and Spark keeps idle workers: beside a step that runs no
+    Python, that memory would count against the executor all the same.
+    """
+    pa.default_memory_pool().release_unused()
+    # Of the GNU C library; others have no such call.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 #: Characters of text that are in work at one time.
 AT_ONCE = 1_000_000
 
