@@ -7,7 +7,9 @@ import gc
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,15 +44,22 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict]) -> DataFrame:
-    """Rows made batch by batch; `each` gives the columns of the rows for one batch."""
+def arrow_map(df: DataFrame, schema: str, each: Callable[[pa.RecordBatch], dict], by: str | None = None) -> DataFrame:
+    """Rows made batch by batch; `each` gives the columns of the rows for one batch.
+
+    With `by`, a column of texts, it gets a batch's rows some at a time: up to `AT_ONCE` characters and the text that goes
+    beyond. What it makes of these is sent before the next are read, so its memory does not follow the size of a batch.
+    """
     fields = arrow_fields(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(each(batch), schema=fields)
-        batch = None
+            for rows in row_parts(batch, by) if by else [batch]:
+                if rows.num_rows:
+                    yield pa.RecordBatch.from_pydict(each(rows), schema=fields)
+                if by:
+                    give_back()
+        batch = rows = None
         give_back()
 
     return df.mapInArrow(run, schema)
@@ -105,6 +114,17 @@ def parts(texts: list[str], at_once: int = AT_ONCE) -> Iterator[list[str]]:
             first, size = nth + 1, 0
 
 
+def row_parts(batch: pa.RecordBatch, by: str, at_once: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The batch's rows, some at a time, with the borders that `parts` gives the texts in column `by`; nothing is copied."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column(by)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first, before = 0, 0
+    while first < batch.num_rows:
+        last = min(int(np.searchsorted(ends, before + at_once)), batch.num_rows - 1)
+        yield batch.slice(first, last + 1 - first)
+        first, before = last + 1, int(ends[last])
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 

@@ -172,7 +172,7 @@ def predict(docs: DataFrame, names: list[str], profiles: np.ndarray, keep: list[
 
     kinds = dict(docs.dtypes)
     fields = "".join(f"`{c}` {kinds[c]}, " for c in keep)
-    return arrow_map(rows, f"{fields}lang_pred string, score double", each)
+    return arrow_map(rows, f"{fields}lang_pred string, score double", each, "__text")
 
 
 def held_out(id_col: str = "doc_id"):

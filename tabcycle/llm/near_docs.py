@@ -279,7 +279,7 @@ def near_documents(
 
     hashed = rows.select("id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
     signed = stored(
-        arrow_map(hashed, f"id {kind}, h1 bigint, h2 bigint, bands array<bigint>, class int", sign), f"{folder}/signed"
+        arrow_map(hashed, f"id {kind}, h1 bigint, h2 bigint, bands array<bigint>, class int", sign, "text"), f"{folder}/signed"
     )
     classes = stored(
         signed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("class").alias("class")),
@@ -380,7 +380,7 @@ def linked(rows: DataFrame, members: DataFrame, idf: np.ndarray, least: float, k
         }
 
     vectors = stored(
-        arrow_map(some.select("id", "text"), f"id {kind}, hashes binary, counts binary, central double", weigh),
+        arrow_map(some.select("id", "text"), f"id {kind}, hashes binary, counts binary, central double", weigh, "text"),
         f"{folder}/vectors",
     )
     def verify(batch: pa.RecordBatch) -> dict:
