@@ -11,6 +11,7 @@ differences; u8 positions and u32 higher bits of the exceptions.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -150,15 +151,21 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def write_file(path: str, content: bytes, attempt: str) -> None:
-    """A file that is there whole or not at all, whatever attempt of a task writes it."""
+@contextlib.contextmanager
+def written_whole(path: str, attempt: str) -> Iterator[pa.NativeFile]:
+    """A stream into a file that is there whole or not at all, whatever attempt of a task writes it."""
     store, at = opened(path)
     store.create_dir(os.path.dirname(at), recursive=True)
     with store.open_output_stream(f"{at}.{attempt}") as out:
-        out.write(content)
+        yield out
     store.move(f"{at}.{attempt}", at)
 
 
+def write_file(path: str, content: bytes, attempt: str) -> None:
+    with written_whole(path, attempt) as out:
+        out.write(content)
+
+
 def pieces(path: str, pattern: str) -> PieceIds:
     """One per Python worker. The library gives the ids of every piece; texts are made of pieces.
 
